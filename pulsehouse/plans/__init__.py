@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsehouse.plans import batch
+from pulsehouse.plans import batch, streams
 from pulsehouse.plans.oracle import ORACLE
 
 QUERIES = {
@@ -20,6 +20,14 @@ QUERIES = {
     "validity_flag": batch.validity_flag_q,
     "count_checks": batch.count_checks_q,
     "rows_equal": batch.rows_equal_q,
+    "first_seen_insert_only": streams.first_seen_insert_only_q,
+    "first_seen_earliest_wins": streams.first_seen_earliest_wins_q,
+    "latest_profile": streams.latest_profile_q,
+    "pairs_streaming": streams.pairs_streaming_q,
+    "summary_stream": streams.summary_stream_q,
+    "csv_ingest": streams.csv_ingest_q,
+    "bus_ingest": streams.bus_ingest_q,
+    "compact_files": streams.compact_files_q,
 }
 
 __all__ = ["QUERIES", "ORACLE"]

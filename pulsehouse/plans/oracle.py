@@ -124,3 +124,50 @@ ORACLE: dict[str, str] = {
 
     "rows_equal": "SELECT CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra",
 }
+
+_FIRST_SEEN = """
+  SELECT user_id, device_id, mac_address, "timestamp" FROM (
+    SELECT user_id, event_id AS device_id, lpad(hex(event_id), 12, '0') AS mac_address,
+           ts AS "timestamp",
+           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+    FROM events) f
+  WHERE rn = 1"""
+
+ORACLE.update({
+    "first_seen_insert_only": _FIRST_SEEN,
+    "first_seen_earliest_wins": _FIRST_SEEN,
+
+    "latest_profile": f"""
+  SELECT user_id, update_type, score, k, "offset", "timestamp" FROM (
+    SELECT user_id, event_type AS update_type, value AS score, {K} AS k,
+           event_id AS "offset", ts AS "timestamp",
+           row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM events) p
+  WHERE rn = 1""",
+
+    "pairs_streaming": f"""
+  WITH s AS (SELECT user_id, {K} AS k, ts FROM events WHERE event_type = 'view'),
+  e AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase')
+  SELECT s.user_id, s.k AS session_id, s.ts AS start_time, e.ts AS end_time
+  FROM s JOIN e ON s.user_id = e.user_id
+   AND e.ts > s.ts AND e.ts <= s.ts + INTERVAL 2 HOUR""",
+
+    "summary_stream": """
+  SELECT e.user_id, e.event_type, c.c_mktsegment AS segment, min(e.value) AS min_value,
+         round(avg(e.value), 6) AS avg_value, max(e.value) AS max_value, count(e.value) AS n
+  FROM events e JOIN customer c ON c.c_custkey = e.user_id
+  GROUP BY e.user_id, e.event_type, c.c_mktsegment""",
+
+    "csv_ingest": """
+  SELECT user_id, event_id AS device_id, lpad(hex(event_id), 12, '0') AS mac_address,
+         epoch_us(ts) / 1e6 AS registration_timestamp
+  FROM events""",
+
+    "bus_ingest": f"""
+  SELECT CAST(event_id AS VARCHAR) AS key, {K} AS k, event_type AS topic,
+         event_id AS "offset", {EPOCH_S.format(c='ts')} AS "timestamp",
+         strftime(ts, '%G-%V') AS week_part
+  FROM events WHERE event_type = 'click'""",
+
+    "compact_files": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+})
