@@ -16,16 +16,23 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_seconds(ts) -> Column:
-    """Whole epoch seconds, floored (``ts::long``). Time-zone free on NTZ."""
-    return F.unix_timestamp(_c(ts))
-
-
 def epoch_micros_ntz(ts) -> Column:
-    """Epoch microseconds of a ``timestamp_ntz`` (wall clock read as UTC)."""
+    """Epoch microseconds of a ``timestamp_ntz`` (wall clock read as UTC).
+    A ``timestamp`` input is compared with the epoch in the session time zone
+    (UTC in this library's sessions)."""
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(ts))
 
 
+def epoch_seconds(ts) -> Column:
+    """Whole epoch seconds, floored like ``ts::long`` (-0.5 s -> -1).
+
+    ``unix_timestamp`` truncates toward zero before 1970, so the floor is
+    taken exactly in integer arithmetic on the microseconds.
+    """
+    m = epoch_micros_ntz(ts)
+    return ((m - F.pmod(m, F.lit(1_000_000))) / F.lit(1_000_000)).cast("long")
+
+
 def epoch_double(ts) -> Column:
     """Epoch seconds with microsecond fraction, as the sources write them."""
     return epoch_micros_ntz(ts) / F.lit(1_000_000.0)

@@ -1,0 +1,57 @@
+"""Every registered query against its DuckDB oracle on the smallest data."""
+import datetime as dt
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from conftest import SMALL
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+          "events", "documents", "embeddings", "pages", "benchmark", "labels",
+          "conversations"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else round(v, 9)
+    if isinstance(v, dt.datetime) and v.tzinfo is not None:
+        return v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return v
+
+
+def _bag(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted((tuple(_norm(r[i]) for i in order) for r in rows),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert df.columns == ["user_id", "session_id", "end_time", "segment", "nation_key",
+                          "min_bpm", "avg_bpm", "max_bpm", "num_recordings"]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SMALL)
+    rows = [tuple(r) for r in df.collect()]
+    sql = E.oracle_sql().get(name)
+    if sql is None:
+        assert len(rows) > 0
+        return
+    rel = duck.sql(sql)
+    expected = rel.fetchall()
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert len(rows) == len(expected)
+    assert _bag(df.columns, rows) == _bag(rel.columns, expected)
