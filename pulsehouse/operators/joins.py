@@ -55,16 +55,31 @@ def _qualified_join(left: DataFrame, right: DataFrame, keys: list[str],
     return l.join(r, cond, how).select(*out)
 
 
+def auto_bucket_seconds(ranges: DataFrame, lo: str, hi: str, quantile: float = 0.9,
+                        floor_seconds: int = 60) -> int:
+    """Bucket width near the typical range length: the ``quantile`` of
+    ``hi - lo`` (one approximate-percentile aggregation over the ranges), so
+    most ranges cover at most two buckets."""
+    length = epoch_seconds(hi) - epoch_seconds(lo)
+    row = ranges.where(F.col(hi) >= F.col(lo)).agg(
+        F.percentile_approx(length, quantile).alias("w")).first()
+    w = row["w"] if row is not None else None
+    return max(int(w or 0), floor_seconds)
+
+
 def interval_join(points: DataFrame, ranges: DataFrame, on: list[str], point: str,
                   lo: str, hi: str, strategy: str = "bucketed",
-                  bucket_seconds: int = 86_400) -> DataFrame:
+                  bucket_seconds: int | str = "auto") -> DataFrame:
     """Inner join: equal ``on`` keys and ``points.point BETWEEN ranges.lo AND ranges.hi``.
 
     Both ends inclusive; a NULL bound never matches (SQL BETWEEN semantics).
     ``strategy="range"`` leaves the plan to Catalyst (hash join on the keys,
     range as a residual condition): fine when no key is hot.
-    ``strategy="bucketed"`` (default) adds a time bucket to the join key; pick
-    ``bucket_seconds`` near the typical range length.
+    ``strategy="bucketed"`` (default) adds a time bucket to the join key;
+    ``bucket_seconds`` should be near the typical range length (``"auto"``
+    measures it). The exploded side carries a sort-merge hint: Catalyst's
+    size estimate does not grow through ``explode``, so without it the
+    planner could broadcast a side far larger than it believes.
     Non-key column names of the two sides must differ.
     """
     if strategy == "range":
@@ -72,12 +87,14 @@ def interval_join(points: DataFrame, ranges: DataFrame, on: list[str], point: st
         return _qualified_join(points, ranges, on, between)
     if strategy != "bucketed":
         raise ValueError(f"unknown interval join strategy {strategy!r}")
+    if bucket_seconds == "auto":
+        bucket_seconds = auto_bucket_seconds(ranges, lo, hi)
     b = F.lit(int(bucket_seconds))
     lo_b = F.floor(epoch_seconds(lo) / b)
     hi_b = F.floor(epoch_seconds(hi) / b)
     r = ranges.withColumn(
         "__bucket",
-        F.explode(F.when(F.col(hi) >= F.col(lo), F.sequence(lo_b, hi_b))))
+        F.explode(F.when(F.col(hi) >= F.col(lo), F.sequence(lo_b, hi_b)))).hint("merge")
     p = points.withColumn("__bucket", F.floor(epoch_seconds(point) / b))
     between = F.col(f"__l.{point}").between(F.col(f"__r.{lo}"), F.col(f"__r.{hi}"))
     return _qualified_join(p, r, on + ["__bucket"], between).drop("__bucket")
@@ -120,7 +137,7 @@ def attach_readings(readings: DataFrame, sessions: DataFrame, on: list[str],
                     time_col: str = "time", start_col: str = "start_time",
                     end_col: str = "end_time", valid_col: str | None = "valid",
                     bridge: DataFrame | None = None, bridge_on: list[str] | None = None,
-                    strategy: str = "bucketed", bucket_seconds: int = 86_400) -> DataFrame:
+                    strategy: str = "bucketed", bucket_seconds: int | str = "auto") -> DataFrame:
     """Readings inside sessions (J5): optional bridge (device -> user), then
     ``time BETWEEN start AND end`` per user. Only valid readings are attached
     (filter applied before the joins so it reaches the scan)."""

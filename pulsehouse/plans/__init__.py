@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pulsehouse.plans import batch, streams
+from pulsehouse.plans import batch, layered, streams
 from pulsehouse.plans.oracle import ORACLE
 
 QUERIES = {
@@ -28,6 +28,8 @@ QUERIES = {
     "csv_ingest": streams.csv_ingest_q,
     "bus_ingest": streams.bus_ingest_q,
     "compact_files": streams.compact_files_q,
+    "layer_waves": layered.layer_waves_q,
+    "gym_summary": layered.gym_summary_q,
 }
 
 __all__ = ["QUERIES", "ORACLE"]

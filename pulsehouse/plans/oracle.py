@@ -171,3 +171,45 @@ ORACLE.update({
 
     "compact_files": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 })
+
+_LAYER_SESSIONS = """
+  SELECT o.o_custkey AS user_id, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS workout_id,
+         o.o_orderkey AS session_id, w.s AS start_time, w.e AS end_time
+  FROM (SELECT l_orderkey, min(l_shipdate) AS s, max(l_shipdate) AS e
+        FROM lineitem GROUP BY l_orderkey) w
+  JOIN orders o ON o.o_orderkey = w.l_orderkey"""
+
+ORACLE.update({
+    "layer_waves": f"""
+  WITH sess AS ({_LAYER_SESSIONS}),
+  r_all AS (SELECT o.o_custkey AS device_id, l.l_shipdate + to_minutes(l.l_linenumber) AS time,
+                   l.l_quantity * 4 - 20 AS heartrate, l.l_orderkey * 8 + l.l_linenumber AS off
+            FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+  r AS (SELECT device_id, time, heartrate FROM (
+          SELECT *, row_number() OVER (PARTITION BY device_id, time ORDER BY off, heartrate) AS rn
+          FROM r_all) x WHERE rn = 1),
+  bpm AS (SELECT s.user_id, s.workout_id, s.session_id, r.heartrate
+          FROM r JOIN customer c ON c.c_custkey = r.device_id
+          JOIN sess s ON s.user_id = c.c_custkey AND r.time BETWEEN s.start_time AND s.end_time
+          WHERE r.heartrate > 0)
+  SELECT workout_id, session_id, user_id, min(heartrate) AS min_bpm, avg(heartrate) AS avg_bpm,
+         max(heartrate) AS max_bpm, count(heartrate) AS num_recordings
+  FROM bpm GROUP BY workout_id, session_id, user_id""",
+
+    "gym_summary": f"""
+  WITH sess AS ({_LAYER_SESSIONS}),
+  g AS (SELECT lpad(hex(o_custkey), 12, '0') AS mac_address,
+               CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS gym, o_orderdate AS login,
+               max(CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 90 DAY END) AS logout
+        FROM orders GROUP BY 1, 2, 3),
+  w AS (SELECT lpad(hex(c.c_custkey), 12, '0') AS mac_address, s.workout_id, s.session_id,
+               s.start_time, s.end_time
+        FROM sess s JOIN customer c ON c.c_custkey = s.user_id)
+  SELECT CAST(g.login AS DATE) AS date, g.gym, g.mac_address, w.workout_id, w.session_id,
+         round(({EPOCH_S.format(c='g.logout')} - {EPOCH_S.format(c='g.login')}) / 60, 2)
+           AS minutes_in_gym,
+         round(({EPOCH_S.format(c='w.end_time')} - {EPOCH_S.format(c='w.start_time')}) / 60, 2)
+           AS minutes_exercising
+  FROM g JOIN w ON g.mac_address = w.mac_address AND w.start_time BETWEEN g.login AND g.logout
+  ORDER BY date, gym, mac_address, session_id""",
+})
