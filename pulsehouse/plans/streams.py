@@ -178,9 +178,12 @@ def bus_ingest_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def compact_files_q(spark: SparkSession, d: str) -> DataFrame:
-    """Many small JSON part files -> few (K5), read with a declared schema."""
+    """A named streaming JSON sink writes small part files per micro-batch (K2);
+    compaction then rewrites them as few files (K5), read with a declared schema."""
     root = scratch_dir(spark, "compact_files")
     small = f"{root}/small"
-    read_table(spark, d, "events").repartition(16).write.options(**JSON_OPTIONS).json(small)
+    ev = _source(spark, d, STAGED_FILES, root)
+    await_queries([start_stream(ev, f"{root}/_ckpt", path=small, fmt="json",
+                                query_name="events_json", options=JSON_OPTIONS)])
     out = compact(spark, small, f"{root}/compacted", EVENT_DDL, rows_per_file=COMPACT_ROWS)
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
