@@ -25,6 +25,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on measured sizes: no broadcast from static (file-size)
+    # estimates; AQE converts a join to broadcast once a shuffle stage has
+    # materialised and its real size is known. Explicit broadcasts go through
+    # ``operators.joins.sized_broadcast`` (row-count proof).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
