@@ -58,3 +58,15 @@ def test_gym_summary_report(spark, run):
     assert rows and all(r.minutes_in_gym is not None for r in rows)
     keys = [(r.date, r.gym, r.mac_address, r.session_id) for r in rows]
     assert keys == sorted(keys)                             # O1 order
+
+
+def test_literal_modes_and_bounded_dedupe(spark):
+    """Reference-literal modes (insert-only users and summaries) and the
+    watermark-bounded de-duplication give the same keys on one batch."""
+    root = scratch_dir(spark, "test_layers_literal")
+    write_landing(spark, SMALL, f"{root}/landing")
+    lh = lakehouse(spark, root, users_mode="insert_only", summary_mode="insert_only",
+                   dedupe_watermark="1 day")
+    gold = lh.run()
+    assert lh.read("users").count() == lh.read("user_profile").count()
+    assert gold.count() > 0

@@ -60,3 +60,37 @@ def test_earliest_wins_one_vs_many_batches(spark):
              .agg(F.min_by(F.struct("event_id", "ts"), F.struct("ts", "event_id")).alias("w"))
              .select("user_id", "w.event_id", "w.ts").collect())
     assert sorted(map(tuple, batch)) == results[0]
+
+
+def test_processing_time_trigger_and_stop(spark):
+    from pulsehouse.streaming.runner import stop_after
+    root = scratch_dir(spark, "test_trigger")
+    ddl = spark.read.parquet(f"{SMALL}/events.parquet").schema
+    src = parquet_stream(spark, SMALL, ddl, glob="events.parquet")
+    q = start_stream(src.select("event_id"), f"{root}/_ckpt", path=f"{root}/out", once=False,
+                     processing_time="1 second", query_name="ph_trigger_test")
+    assert q.name == "ph_trigger_test"
+    q.processAllAvailable()
+    stop_after(q, 1)
+    assert not q.isActive
+    assert spark.read.parquet(f"{root}/out").count() == spark.read.parquet(
+        f"{SMALL}/events.parquet").count()
+
+
+def test_bus_source_is_gated(spark):
+    import pytest
+    from pulsehouse.sources.bus import bus_available, bus_stream
+    if bus_available(spark):
+        pytest.skip("Kafka connector present")
+    with pytest.raises(RuntimeError):
+        bus_stream(spark, "localhost:9092", ["user_info"])
+
+
+def test_table_stream_from_ingest_time(spark):
+    from pulsehouse.sources.files import table_stream
+    root = scratch_dir(spark, "test_since")
+    spark.sql("SELECT 1L AS id, TIMESTAMP'2020-01-01 00:00:00' AS load_time UNION ALL "
+              "SELECT 2L, TIMESTAMP'2024-01-01 00:00:00'").write.parquet(f"{root}/t")
+    s = table_stream(spark, f"{root}/t", "id LONG, load_time TIMESTAMP", since="2023-01-01")
+    await_queries([start_stream(s, f"{root}/_ckpt", path=f"{root}/out")])
+    assert [r.id for r in spark.read.parquet(f"{root}/out").collect()] == [2]
