@@ -42,3 +42,18 @@ def bus_stream(spark: SparkSession, servers: str, topics: str | list[str],
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load()
+
+
+def write_envelopes(df: DataFrame, servers: str, topic: str | None = None,
+                    options: dict[str, str] | None = None) -> None:
+    """Batch-write envelopes (``key``, ``value`` and optionally ``topic``
+    columns, e.g. from ``functions.to_envelope``) to the bus (K7). Each task
+    produces its partition's records; no row passes through the driver."""
+    if not bus_available(df.sparkSession):
+        raise RuntimeError("Kafka connector not on the class path")
+    w = df.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    if topic:
+        w = w.option("topic", topic)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.save()

@@ -70,3 +70,17 @@ def test_literal_modes_and_bounded_dedupe(spark):
     gold = lh.run()
     assert lh.read("users").count() == lh.read("user_profile").count()
     assert gold.count() > 0
+
+
+def test_publish_tables_to_catalog(spark, run):
+    from pulsehouse.operators import table_exists
+    _, lh, gold_rows = run
+    names = lh.publish("ph_layers_db")
+    assert "workout_bpm_summary" in names and "bus_dump" in names
+    assert table_exists(spark, "users", "ph_layers_db")
+    assert spark.table("ph_layers_db.workout_bpm_summary").count() == gold_rows
+    assert spark.table("ph_layers_db.bus_dump").where("topic = 'bpm'").count() > 0
+    lh.gym_summary(view="gym_summary_v")
+    assert spark.table("gym_summary_v").count() > 0
+    spark.sql("USE default")
+    spark.sql("DROP DATABASE ph_layers_db CASCADE")
