@@ -103,3 +103,36 @@ def test_append_table_replay_adds_nothing(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         merge_rows(None, _df(spark, [(1, 1, T(2024, 1, 1))]), ["user_id"], "nope")
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.integers(0, 9)),
+                     min_size=1, max_size=25, unique_by=lambda r: (r[0], r[1], r[2])),
+       cuts=st.lists(st.integers(0, 25), max_size=3))
+def test_merge_independent_of_batch_split(spark, rows, cuts):
+    """earliest/latest-wins and max are the same however rows are split into
+    batches; insert-only always keeps exactly the set of keys."""
+    ddl = "k int, t int, v int"
+    bounds = sorted({0, len(rows), *[min(c, len(rows)) for c in cuts]})
+    batches = [rows[a:b] for a, b in zip(bounds, bounds[1:]) if rows[a:b]]
+    for mode, order in (("earliest_wins", ["t", "v"]), ("latest_wins", ["t", "v"]),
+                        ("max", None), ("insert_only", ["t", "v"])):
+        target = None
+        for b in batches:
+            target = merge_rows(target, spark.createDataFrame(b, ddl), ["k"], mode, order)
+            target = spark.createDataFrame(target.collect(), ddl)
+        got = sorted(map(tuple, target.collect()))
+        keys = sorted({r[0] for r in rows})
+        if mode == "insert_only":
+            assert [g[0] for g in got] == keys
+            continue
+        if mode == "max":
+            want = [(k, max(r[1] for r in rows if r[0] == k), max(r[2] for r in rows if r[0] == k))
+                    for k in keys]
+        else:
+            pick = min if mode == "earliest_wins" else max
+            want = [pick((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])) for k in keys]
+        assert got == sorted(want), mode
