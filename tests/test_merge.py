@@ -136,3 +136,29 @@ def test_merge_independent_of_batch_split(spark, rows, cuts):
             pick = min if mode == "earliest_wins" else max
             want = [pick((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])) for k in keys]
         assert got == sorted(want), mode
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.integers(0, 9)),
+                     min_size=1, max_size=20, unique_by=lambda r: (r[0], r[1], r[2])),
+       cuts=st.lists(st.integers(0, 20), max_size=3), compact_after=st.integers(0, 3))
+def test_log_table_equals_copy_on_write(spark, rows, cuts, compact_after):
+    """Merge-on-read (LogTable, with a compaction somewhere in the sequence)
+    gives the same table as merging batch by batch."""
+    from pulsehouse.operators.merge import LogTable
+    ddl = "k int, t int, v int"
+    bounds = sorted({0, len(rows), *[min(c, len(rows)) for c in cuts]})
+    batches = [rows[a:b] for a, b in zip(bounds, bounds[1:]) if rows[a:b]]
+    for mode, order in (("update", ["t", "v"]), ("insert_only", ["t", "v"]),
+                        ("latest_wins", ["t", "v"]), ("max", None)):
+        log = LogTable(spark, scratch_dir(spark, "test_log"), ddl, ["k"], mode, order)
+        target = None
+        for i, b in enumerate(batches):
+            df = spark.createDataFrame(b, ddl)
+            log.merge(df, i)
+            target = merge_rows(target, df, ["k"], mode, order)
+            target = spark.createDataFrame(target.collect(), ddl)
+            if i == compact_after:
+                log.compact()
+        assert sorted(map(tuple, log.read().collect())) == \
+            sorted(map(tuple, target.collect())), mode
