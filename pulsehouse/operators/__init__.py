@@ -4,8 +4,8 @@ from pulsehouse.operators.joins import (attach_readings, interval_join, join_dim
                                         pair_actions, pair_actions_stream,
                                         sized_broadcast)
 from pulsehouse.operators.summaries import reading_stats, session_summary, visit_report
-from pulsehouse.operators.merge import (AppendTable, SnapshotTable, merge_rows, new_rows,
-                                        pick_per_key)
+from pulsehouse.operators.merge import (AppendTable, LogTable, SnapshotTable, merge_rows,
+                                        new_rows, pick_per_key)
 from pulsehouse.operators.quality import (assert_checks, assert_count, count_checks,
                                           database_exists, rows_equal, table_exists)
 from pulsehouse.operators.maintenance import (compact, create_database, create_tables,
@@ -13,7 +13,7 @@ from pulsehouse.operators.maintenance import (compact, create_database, create_t
 
 __all__ = ["attach_readings", "interval_join", "join_dimension", "pair_actions",
            "pair_actions_stream", "sized_broadcast", "reading_stats", "session_summary",
-           "visit_report", "AppendTable", "SnapshotTable", "merge_rows", "new_rows",
+           "visit_report", "AppendTable", "LogTable", "SnapshotTable", "merge_rows", "new_rows",
            "pick_per_key", "assert_checks", "assert_count", "count_checks",
            "database_exists", "rows_equal", "table_exists", "compact",
            "create_database", "create_tables", "drop_database"]
