@@ -9,7 +9,6 @@ session's checkpoint directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,11 +74,3 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pulsehouse/{name}/{uuid.uuid4().hex}"
 
-
-def local_path(path: str) -> str | None:
-    """Plain filesystem path for ``file:`` / bare paths, else None (remote store)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None
