@@ -98,3 +98,24 @@ def test_sized_broadcast_only_when_bounded(spark):
     small = facts.join(sized_broadcast(dims, max_rows=100), "k")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert sized_broadcast(dims, max_rows=5) is dims
+
+
+def test_hot_key_is_spread_over_buckets(spark):
+    """A key holding a third of the rows is split over many (key, bucket)
+    join groups; the result still equals the plain range join."""
+    base = T(2024, 1, 1)
+    n = 3000
+    pts = [("hot" if i % 3 == 0 else f"k{i % 50}", i, base + dt.timedelta(hours=i))
+           for i in range(n)]
+    rngs = [("hot" if j % 3 == 0 else f"k{j % 50}", j, base + dt.timedelta(hours=10 * j),
+             base + dt.timedelta(hours=10 * j + 5)) for j in range(300)]
+    p = spark.createDataFrame(pts, "k string, pid int, t timestamp_ntz")
+    r = spark.createDataFrame(rngs, "k string, rid int, lo timestamp_ntz, hi timestamp_ntz")
+    width = 6 * 3600
+    buckets = (p.where("k = 'hot'")
+               .select(F.floor(F.unix_timestamp("t") / width).alias("b")).distinct().count())
+    assert buckets > 100           # the hot key's points fall in many join groups
+    a = interval_join(p, r, ["k"], "t", "lo", "hi", strategy="range")
+    b = interval_join(p, r, ["k"], "t", "lo", "hi", bucket_seconds=width)
+    assert a.count() == b.count() > 0
+    assert b.exceptAll(a).count() == 0
