@@ -174,7 +174,7 @@ ORACLE.update({
 
 _LAYER_SESSIONS = """
   SELECT o.o_custkey AS user_id, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS workout_id,
-         o.o_orderkey AS session_id, w.s AS start_time, w.e AS end_time
+         CAST(o.o_orderkey AS INTEGER) AS session_id, w.s AS start_time, w.e AS end_time
   FROM (SELECT l_orderkey, min(l_shipdate) AS s, max(l_shipdate) AS e
         FROM lineitem GROUP BY l_orderkey) w
   JOIN orders o ON o.o_orderkey = w.l_orderkey"""

@@ -21,6 +21,11 @@ def duck():
     return con
 
 
+# Spark type -> DuckDB type of the same values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9)
@@ -53,5 +58,7 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(sql)
     expected = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert len(rows) == len(expected)
     assert _bag(df.columns, rows) == _bag(rel.columns, expected)
