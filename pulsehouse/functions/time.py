@@ -38,13 +38,20 @@ def epoch_double(ts) -> Column:
     return epoch_micros_ntz(ts) / F.lit(1_000_000.0)
 
 
+# Epoch seconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59 UTC.
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
 def epoch_to_timestamp(x) -> Column:
-    """Epoch seconds (double/long) -> TIMESTAMP; NaN or junk -> NULL.
+    """Epoch seconds (double/long) -> TIMESTAMP; NaN, junk and numbers outside
+    the years 1 to 9999 (such as an epoch in microseconds) -> NULL (P3).
 
     ``try_cast`` instead of ``cast`` so one bad value cannot fail a stream
-    under ANSI mode.
+    under ANSI mode; it saturates instead of failing on large numbers, hence
+    the range.
     """
-    return _c(x).try_cast("timestamp")
+    x = _c(x)
+    return F.when(x.between(_FIRST_SECOND, _LAST_SECOND), x.try_cast("timestamp"))
 
 
 def to_instant(ts) -> Column:

@@ -2,17 +2,17 @@
 
 Scale notes
 -----------
-* ``sized_broadcast`` broadcasts a side only after proving a row bound with
-  ``limit(n + 1).count()``; otherwise the join stays a shuffle join and AQE
-  may still switch it at runtime from the real shuffle sizes.
+* No join is hinted to broadcast: which side is small is left to AQE, which
+  knows the real size of a side after its shuffle
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 * ``interval_join`` (equi key + ``point BETWEEN lo AND hi``) defaults to a
-  time-bucketed plan: ranges are exploded over the fixed-width buckets they
-  cover, points fall in exactly one bucket, and the hash join runs on
-  (key, bucket). A hot key (say a third of all rows) is then spread over many
-  (key, bucket) partitions instead of one task comparing all its pairs.
-  The range check stays as the residual predicate, so results are exact;
-  every (point, range) pair meets in exactly one bucket, so nothing is
-  emitted twice.
+  time-bucketed plan with bucket widths w, k*w, k*k*w, ... A range goes to
+  the one level at which it covers at most k + 1 buckets, and is copied to
+  those; a point falls in one bucket of each level in use. The join runs on
+  (key, level, bucket), so a hot key (say a third of all rows) is spread over
+  many join groups, and no range, however long, is copied more than k + 1
+  times. The range check stays as the residual predicate, so results are
+  exact; a (point, range) pair meets in exactly one bucket of one level.
 * Start/stop pairing is one partial+final aggregation (map-side combine),
   never a self-join that would emit all pairs of a key.
 """
@@ -24,20 +24,12 @@ from pyspark.sql import functions as F
 
 from pulsehouse.functions.time import epoch_seconds
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if it provably has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on: list[str] | str,
-                   how: str = "inner", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   how: str = "inner") -> DataFrame:
     """Fact x dimension equi-join (J1, J2, J6); rows without a match are
     dropped for ``inner``."""
-    return facts.join(sized_broadcast(dim, max_rows), on=on, how=how)
+    return facts.join(dim, on=on, how=how)
 
 
 def _qualified_join(left: DataFrame, right: DataFrame, keys: list[str],
@@ -55,49 +47,62 @@ def _qualified_join(left: DataFrame, right: DataFrame, keys: list[str],
     return l.join(r, cond, how).select(*out)
 
 
-def auto_bucket_seconds(ranges: DataFrame, lo: str, hi: str, quantile: float = 0.9,
-                        floor_seconds: int = 60) -> int:
-    """Bucket width near the typical range length: the ``quantile`` of
-    ``hi - lo`` (one approximate-percentile aggregation over the ranges), so
-    most ranges cover at most two buckets."""
-    length = epoch_seconds(hi) - epoch_seconds(lo)
-    row = ranges.where(F.col(hi) >= F.col(lo)).agg(
-        F.percentile_approx(length, quantile).alias("w")).first()
-    w = row["w"] if row is not None else None
-    return max(int(w or 0), floor_seconds)
+# Levels of bucket widths: 60 s, 16 min, about 4 h, 3 days, 45 days, 2 years, ...
+# up to the whole span of a timestamp.
+BASE_SECONDS, WIDER, LEVELS = 60, 16, 10
+
+
+def _level(length: Column, base: int) -> Column:
+    """Lowest level whose width times ``WIDER`` is at least the length in seconds."""
+    out = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        out = F.when(length <= base * WIDER ** (k + 1), F.lit(k)).otherwise(out)
+    return out
+
+
+def _width(level: Column, base: int) -> Column:
+    return F.element_at(F.array(*[F.lit(base * WIDER ** k) for k in range(LEVELS)]), level + 1)
+
+
+def _bucket(ts, width: Column) -> Column:
+    # floor division in whole numbers: a bucket's edges are exact at any level
+    s = epoch_seconds(ts)
+    return ((s - F.pmod(s, width)) / width).cast("long")
 
 
 def interval_join(points: DataFrame, ranges: DataFrame, on: list[str], point: str,
                   lo: str, hi: str, strategy: str = "bucketed",
-                  bucket_seconds: int | str = "auto") -> DataFrame:
+                  bucket_seconds: int = BASE_SECONDS) -> DataFrame:
     """Inner join: equal ``on`` keys and ``points.point BETWEEN ranges.lo AND ranges.hi``.
 
     Both ends inclusive; a NULL bound never matches (SQL BETWEEN semantics).
     ``strategy="range"`` leaves the plan to Catalyst (hash join on the keys,
     range as a residual condition): fine when no key is hot.
-    ``strategy="bucketed"`` (default) adds a time bucket to the join key;
-    ``bucket_seconds`` should be near the typical range length (``"auto"``
-    measures it). The exploded side carries a sort-merge hint: Catalyst's
-    size estimate does not grow through ``explode``, so without it the
-    planner could broadcast a side far larger than it believes.
-    Non-key column names of the two sides must differ.
+    ``strategy="bucketed"`` (default) adds a level and a time bucket to the
+    join key (see the module's text); ``bucket_seconds`` is the width of the
+    lowest level. Which levels are in use is read from the ranges first: one
+    aggregation to at most ``LEVELS`` numbers. The exploded sides carry a
+    sort-merge hint: Catalyst's size estimate does not grow through
+    ``explode``, so without it the planner could broadcast a side far larger
+    than it believes. Non-key column names of the two sides must differ.
     """
     if strategy == "range":
         between = F.col(f"__l.{point}").between(F.col(f"__r.{lo}"), F.col(f"__r.{hi}"))
         return _qualified_join(points, ranges, on, between)
     if strategy != "bucketed":
         raise ValueError(f"unknown interval join strategy {strategy!r}")
-    if bucket_seconds == "auto":
-        bucket_seconds = auto_bucket_seconds(ranges, lo, hi)
-    b = F.lit(int(bucket_seconds))
-    lo_b = F.floor(epoch_seconds(lo) / b)
-    hi_b = F.floor(epoch_seconds(hi) / b)
-    r = ranges.withColumn(
-        "__bucket",
-        F.explode(F.when(F.col(hi) >= F.col(lo), F.sequence(lo_b, hi_b)))).hint("merge")
-    p = points.withColumn("__bucket", F.floor(epoch_seconds(point) / b))
+    base = int(bucket_seconds)
+    real = ranges.where(F.col(hi) >= F.col(lo)).withColumn(
+        "__level", _level(epoch_seconds(hi) - epoch_seconds(lo), base))
+    used = real.agg(F.sort_array(F.collect_set("__level"))).first()[0]
+    width = _width(F.col("__level"), base)
+    r = real.withColumn("__bucket", F.explode(F.sequence(
+        _bucket(lo, width), _bucket(hi, width)))).hint("merge")
+    levels = F.array(*[F.lit(k) for k in used]).cast("array<int>")
+    p = (points.withColumn("__level", F.explode(levels))
+         .withColumn("__bucket", _bucket(point, width)))
     between = F.col(f"__l.{point}").between(F.col(f"__r.{lo}"), F.col(f"__r.{hi}"))
-    return _qualified_join(p, r, on + ["__bucket"], between).drop("__bucket")
+    return _qualified_join(p, r, on + ["__level", "__bucket"], between).drop("__level", "__bucket")
 
 
 def pair_actions(events: DataFrame, keys: list[str], time_col: str, action_col: str,
@@ -106,44 +111,31 @@ def pair_actions(events: DataFrame, keys: list[str], time_col: str, action_col:
     """Start/stop actions -> one completed session per key.
 
     start = earliest start action, end = latest stop action; a key is emitted
-    only once it has a stop later than its start (a start without a stop is
-    not a session yet).
+    only once it has a stop at or after its start (a start without a stop is
+    not a session yet). One aggregation, so it also runs over a stream in
+    update mode: a session appears with its stop and again when it changes.
     """
     a, t = F.col(action_col), F.col(time_col)
     sessions = (events.where(a.isin(start_value, stop_value))
                 .groupBy(*keys)
                 .agg(F.min(F.when(a == start_value, t)).alias(start_name),
                      F.max(F.when(a == stop_value, t)).alias(end_name)))
-    return sessions.where(F.col(end_name) > F.col(start_name))
-
-
-def pair_actions_stream(starts: DataFrame, stops: DataFrame, keys: list[str],
-                        start_col: str = "start_time", end_col: str = "end_time",
-                        max_gap: str = "2 hours", watermark: str = "2 hours") -> DataFrame:
-    """Streaming start/stop pairing: stream-stream interval join.
-
-    Each start pairs with every stop of the same key in (start, start + gap].
-    Watermarks on both sides bound the join state; the inputs must be
-    ``timestamp`` (not NTZ) columns.
-    """
-    s = starts.withWatermark(start_col, watermark)
-    e = stops.withWatermark(end_col, watermark)
-    window = ((F.col(f"__r.{end_col}") > F.col(f"__l.{start_col}")) &
-              (F.col(f"__r.{end_col}") <= F.col(f"__l.{start_col}") + F.expr(f"INTERVAL {max_gap}")))
-    return _qualified_join(s, e, keys, window)
+    return sessions.where(F.col(end_name) >= F.col(start_name))
 
 
 def attach_readings(readings: DataFrame, sessions: DataFrame, on: list[str],
                     time_col: str = "time", start_col: str = "start_time",
                     end_col: str = "end_time", valid_col: str | None = "valid",
                     bridge: DataFrame | None = None, bridge_on: list[str] | None = None,
-                    strategy: str = "bucketed", bucket_seconds: int | str = "auto") -> DataFrame:
+                    strategy: str = "bucketed", bucket_seconds: int = BASE_SECONDS) -> DataFrame:
     """Readings inside sessions (J5): optional bridge (device -> user), then
     ``time BETWEEN start AND end`` per user. Only valid readings are attached
-    (filter applied before the joins so it reaches the scan)."""
+    (filter applied before the joins so it reaches the scan; give a predicate
+    in ``valid_col`` instead of the stored flag to let it reach the files'
+    value ranges)."""
     r = readings
     if valid_col is not None:
-        r = r.where(F.col(valid_col)).drop(valid_col)
+        r = r.where(F.expr(valid_col)).drop("valid")
     if bridge is not None:
         r = join_dimension(r, bridge, bridge_on)
     return interval_join(r, sessions, on, time_col, start_col, end_col,

@@ -30,6 +30,9 @@ QUERIES = {
     "compact_files": streams.compact_files_q,
     "layer_waves": layered.layer_waves_q,
     "gym_summary": layered.gym_summary_q,
+    "user_profile_layer": layered.user_profile_layer_q,
+    "user_bins_layer": layered.user_bins_layer_q,
+    "layer_checks": layered.layer_checks_q,
 }
 
 __all__ = ["QUERIES", "ORACLE"]

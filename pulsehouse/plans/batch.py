@@ -79,8 +79,7 @@ def visit_minutes_q(spark: SparkSession, d: str) -> DataFrame:
                F.col("o_orderdate") + F.expr(f"INTERVAL {VISIT_DAYS} DAYS")).alias("logout"))
     return visit_report(visits, sessions, key="mac_address",
                         keep=["gym", "mac_address", "visit_id", "session_id"],
-                        order_by=["date", "gym", "mac_address", "session_id"],
-                        bucket_seconds=30 * 86_400)
+                        order_by=["date", "gym", "mac_address", "session_id"])
 
 
 # -- step 3: envelopes, calendar columns, epoch conversions --------------------
@@ -152,25 +151,26 @@ def start_stop_pairs_q(spark: SparkSession, d: str) -> DataFrame:
 
 def _readings(spark, d) -> DataFrame:
     ev = _events(spark, d, ["user_id", "ts", "event_type", "value"])
-    r = ev.where(F.col("event_type") == READING).select(
+    return ev.where(F.col("event_type") == READING).select(
         "user_id", F.col("ts").alias("time"), F.col("value").alias("heartrate"))
-    return r.withColumn("valid", validity(VALID_BPM))
 
 
-def _readings_in_sessions(spark, d, strategy: str) -> DataFrame:
-    sessions = start_stop_pairs_q(spark, d)
-    out = attach_readings(_readings(spark, d), sessions, ["user_id"], strategy=strategy,
-                          bucket_seconds=86_400)
+def readings_in_sessions_q(spark: SparkSession, d: str) -> DataFrame:
+    """Readings attached to sessions (J5, P16); the rule itself, not the flag,
+    is the filter, so it reaches the scan."""
+    out = attach_readings(_readings(spark, d), start_stop_pairs_q(spark, d), ["user_id"],
+                          valid_col=VALID_BPM)
     return out.select("user_id", "session_id", "start_time", "end_time", "time",
                       "heartrate")
 
 
-def readings_in_sessions_q(spark: SparkSession, d: str) -> DataFrame:
-    return _readings_in_sessions(spark, d, "range")
-
-
 def readings_bucketed_q(spark: SparkSession, d: str) -> DataFrame:
-    return _readings_in_sessions(spark, d, "bucketed")
+    """The same with the flag stored in the row and a lowest level of a day."""
+    flagged = _readings(spark, d).withColumn("valid", validity(VALID_BPM))
+    out = attach_readings(flagged, start_stop_pairs_q(spark, d), ["user_id"],
+                          bucket_seconds=86_400)
+    return out.select("user_id", "session_id", "start_time", "end_time", "time",
+                      "heartrate")
 
 
 # -- step 6: bins and flags -----------------------------------------------------
@@ -201,7 +201,7 @@ def count_checks_q(spark: SparkSession, d: str) -> DataFrame:
     ev = _events(spark, d, ["event_type"])
     users = _t(spark, d, "orders", ["o_custkey"]).select("o_custkey").distinct()
     return count_checks(spark, [
-        ("heart_rate_equals_input", validity_flag_q(spark, d), _events(spark, d, ["event_id"])),
+        ("valid_le_readings", validity_flag_q(spark, d), _events(spark, d, ["event_id"]), "valid", "<="),
         ("readings_in_sessions_le_readings", readings_in_sessions_q(spark, d),
          ev.where(F.col("event_type") == READING), "true", "<="),
         ("sessions_le_starts", start_stop_pairs_q(spark, d),

@@ -16,7 +16,7 @@ PAIRS = f"""
            max(ts) FILTER (WHERE event_type = 'purchase') AS end_time
     FROM events WHERE event_type IN ('view', 'purchase')
     GROUP BY user_id, {K}) p
-  WHERE end_time > start_time"""
+  WHERE end_time >= start_time"""
 
 READINGS_IN_SESSIONS = f"""
   WITH s AS ({PAIRS}),
@@ -104,8 +104,10 @@ ORACLE: dict[str, str] = {
   FROM events""",
 
     "count_checks": f"""
-  SELECT 'heart_rate_equals_input' AS "check", (SELECT count(*) FROM events) AS expected,
-         (SELECT count(*) FROM events) AS actual, true AS ok
+  SELECT 'valid_le_readings' AS "check", (SELECT count(*) FROM events) AS expected,
+         (SELECT count(*) FROM events WHERE value BETWEEN 1 AND 220) AS actual,
+         (SELECT count(*) FROM events WHERE value BETWEEN 1 AND 220)
+           <= (SELECT count(*) FROM events) AS ok
   UNION ALL
   SELECT 'readings_in_sessions_le_readings',
          (SELECT count(*) FROM events WHERE event_type = 'click'),
@@ -126,15 +128,16 @@ ORACLE: dict[str, str] = {
 }
 
 _FIRST_SEEN = """
-  SELECT user_id, device_id, mac_address, "timestamp" FROM (
-    SELECT user_id, event_id AS device_id, lpad(hex(event_id), 12, '0') AS mac_address,
-           ts AS "timestamp",
-           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+  SELECT user_id, device_id, lpad(hex(device_id), 12, '0') AS mac_address, "timestamp" FROM (
+    SELECT user_id, event_id % 10 AS device_id, CASE WHEN event_id % 10 <> 3 THEN ts END AS "timestamp",
+           row_number() OVER (PARTITION BY user_id
+             ORDER BY CASE WHEN event_id % 10 <> 3 THEN ts END NULLS LAST, event_id % 10) AS rn
     FROM events) f
   WHERE rn = 1"""
 
 ORACLE.update({
-    "first_seen_insert_only": _FIRST_SEEN,
+    "first_seen_insert_only": """
+  SELECT user_id, CAST(1 AS BIGINT) AS n_rows FROM events GROUP BY user_id""",
     "first_seen_earliest_wins": _FIRST_SEEN,
 
     "latest_profile": f"""
@@ -145,12 +148,7 @@ ORACLE.update({
     FROM events) p
   WHERE rn = 1""",
 
-    "pairs_streaming": f"""
-  WITH s AS (SELECT user_id, {K} AS k, ts FROM events WHERE event_type = 'view'),
-  e AS (SELECT user_id, ts FROM events WHERE event_type = 'purchase')
-  SELECT s.user_id, s.k AS session_id, s.ts AS start_time, e.ts AS end_time
-  FROM s JOIN e ON s.user_id = e.user_id
-   AND e.ts > s.ts AND e.ts <= s.ts + INTERVAL 2 HOUR""",
+    "pairs_streaming": PAIRS,
 
     "summary_stream": """
   SELECT e.user_id, e.event_type, c.c_mktsegment AS segment, min(e.value) AS min_value,
@@ -165,8 +163,9 @@ ORACLE.update({
 
     "bus_ingest": f"""
   SELECT CAST(event_id AS VARCHAR) AS key, {K} AS k, event_type AS topic,
-         event_id AS "offset", {EPOCH_S.format(c='ts')} AS "timestamp",
-         strftime(ts, '%G-%V') AS week_part
+         event_id AS "offset",
+         {EPOCH_S.format(c='ts')} * CASE WHEN event_id % 50 = 0 THEN 1000000 ELSE 1 END AS "timestamp",
+         CASE WHEN event_id % 50 <> 0 THEN strftime(ts, '%G-%V') END AS week_part
   FROM events WHERE event_type = 'click'""",
 
     "compact_files": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
@@ -213,3 +212,56 @@ ORACLE.update({
   FROM g JOIN w ON g.mac_address = w.mac_address AND w.start_time BETWEEN g.login AND g.logout
   ORDER BY date, gym, mac_address, session_id""",
 })
+
+_PROFILES = f"""
+  SELECT * FROM (
+    SELECT o_custkey AS user_id,
+           CASE WHEN o_orderkey % 31 <> 0 THEN DATE '1940-01-01'
+             + CAST(trunc(fmod(o_totalprice, 25000)) AS INTEGER) END AS dob,
+           o_orderstatus AS sex, o_orderpriority AS gender, CAST(o_orderkey AS VARCHAR) AS first_name,
+           CAST(o_custkey AS VARCHAR) AS last_name, 'street ' || o_orderkey AS street_address,
+           o_orderpriority AS city, o_orderstatus AS state, CAST(o_orderkey % 100000 AS INTEGER) AS zip,
+           CASE WHEN o_orderkey % 89 <> 0 THEN date_trunc('second', o_orderdate) END AS "timestamp",
+           row_number() OVER (PARTITION BY o_custkey ORDER BY
+             CASE WHEN o_orderkey % 89 <> 0 THEN date_trunc('second', o_orderdate) END DESC NULLS LAST,
+             o_orderkey DESC) AS rn
+    FROM orders) p
+  WHERE rn = 1"""
+
+_FIRST_DEVICES = """
+  SELECT * FROM (
+    SELECT o_custkey AS user_id, o_custkey * 2 + o_orderkey % 2 AS device_id,
+           CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate END AS registered,
+           row_number() OVER (PARTITION BY o_custkey
+             ORDER BY CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate END NULLS LAST,
+             o_custkey * 2 + o_orderkey % 2) AS rn
+    FROM orders) r
+  WHERE rn = 1"""
+
+ORACLE.update({
+    "user_profile_layer": f"""
+  SELECT user_id, dob, sex, gender, first_name, last_name, street_address, city, state, zip,
+         "timestamp" FROM ({_PROFILES}) q""",
+
+    "user_bins_layer": f"""
+  SELECT p.user_id,
+         CASE WHEN age IS NULL OR age < 0 THEN 'invalid' WHEN age < 18 THEN 'under 18'
+              WHEN age < 25 THEN '18-24' WHEN age < 35 THEN '25-34' WHEN age < 45 THEN '35-44'
+              WHEN age < 55 THEN '45-54' WHEN age < 65 THEN '55-64' WHEN age < 75 THEN '65-74'
+              WHEN age < 85 THEN '75-84' WHEN age < 95 THEN '85-94' ELSE '95+' END AS age,
+         gender, city, state, device_id, registered
+  FROM (SELECT *, {AGE} AS age FROM ({_PROFILES}) q) p JOIN ({_FIRST_DEVICES}) f ON f.user_id = p.user_id""",
+
+    "layer_checks": """
+  WITH n AS (SELECT count(*) AS n, count(DISTINCT o_custkey) AS u FROM orders)
+  SELECT 'users_registered_rows' AS "check", 2 * n AS expected, 2 * n AS actual, true AS ok FROM n
+  UNION ALL SELECT 'user_info_rows', n, n, true FROM n
+  UNION ALL SELECT 'workout_rows', 0, 0, true
+  UNION ALL SELECT 'users_rows', 2 * n, u, false FROM n
+  UNION ALL SELECT 'user_profile_rows', u, u, true FROM n
+  UNION ALL SELECT 'user_bins_rows', u, u, true FROM n
+  UNION ALL SELECT 'user_bins_le_users', u, u, true FROM n
+  UNION ALL SELECT 'user_bins_le_profiles', u, u, true FROM n
+  UNION ALL SELECT 'heart_rate_le_messages', 0, 0, true
+  UNION ALL SELECT 'sessions_twice_le_workouts', 0, 0, true""",
+})

@@ -3,9 +3,10 @@
 Each plan runs a real Structured Streaming query with an ``availableNow``
 trigger over data Spark derives from the driver tables, into a fresh folder
 under the cluster's ``spark.checkpoint.dir``, and returns the sink read back
-as a batch DataFrame. Multi-batch plans first write the source table as a few
-part files and read one file per trigger, so the merges see several
-micro-batches (their results must not depend on batch boundaries).
+as a batch DataFrame. Multi-batch plans first write the source table as
+files, as many as its size asks for, and read a share of them per trigger, so
+the merges see several micro-batches (their results must not depend on batch
+boundaries).
 """
 
 from __future__ import annotations
@@ -14,31 +15,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse.functions.envelope import decode_envelope, flatten, to_envelope
-from pulsehouse.functions.time import epoch_double, epoch_seconds, to_instant, to_wall, week_part
-from pulsehouse.operators.joins import pair_actions_stream, sized_broadcast
+from pulsehouse.functions.time import epoch_double, epoch_seconds
+from pulsehouse.operators.joins import pair_actions
 from pulsehouse.operators.maintenance import compact
-from pulsehouse.operators.merge import AppendTable, SnapshotTable
+from pulsehouse.operators.merge import AppendTable, LogTable
 from pulsehouse.plans.batch import EVENT_DDL, PAYLOAD_DDL, READING, START, STOP
-from pulsehouse.schemas import ENVELOPE, JSON_OPTIONS, REGISTRATION_CSV
+from pulsehouse.schemas import JSON_OPTIONS, REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
-from pulsehouse.sources.files import csv_stream, json_stream, parquet_stream, with_ingest_columns
+from pulsehouse.sources.files import csv_stream, parquet_stream, with_ingest_columns
 from pulsehouse.sources.tables import read_table
+from pulsehouse.streaming.layers import Lakehouse
 from pulsehouse.streaming.runner import await_queries, start_stream
 
-STAGED_FILES = 4           # part files (= micro-batches) of multi-batch plans
-PAIR_GAP = "2 hours"       # a stop closes a start at most this much later
-COMPACT_ROWS = 5000        # rows per compacted file
+BATCHES = 4                # micro-batches of multi-batch plans
+COMPACT_BYTES = 256 << 10  # size of a compacted file
+BAD_EVERY = 50             # every so many messages has an epoch in microseconds
 
 
-def _source(spark: SparkSession, d: str, staged: int | None = None,
-            root: str | None = None) -> DataFrame:
-    """Events as a file stream; ``staged`` splits them into that many files
-    first and reads one per trigger."""
-    if not staged:
+def staged(df: DataFrame, path: str, key: str, batches: int = BATCHES) -> int:
+    """Write ``df`` as parquet files, at least one for each of ``batches``
+    parts and more as their sizes ask for; returns the files per micro-batch."""
+    part = F.pmod(F.xxhash64(key), F.lit(batches))
+    (df.withColumn("__part", part).hint("rebalance", F.col("__part"))
+     .write.mode("overwrite").partitionBy("__part").parquet(path))
+    files = len(df.sparkSession.read.parquet(path).inputFiles())
+    return max(1, -(-files // batches))
+
+
+def _source(spark: SparkSession, d: str, root: str | None = None) -> DataFrame:
+    """Events as a file stream: all at once, or from ``root`` in BATCHES parts."""
+    if root is None:
         return parquet_stream(spark, d, EVENT_DDL, glob="events.parquet")
     path = f"{root}/source"
-    read_table(spark, d, "events").repartition(staged).write.mode("overwrite").parquet(path)
-    return parquet_stream(spark, path, EVENT_DDL, max_files=1)
+    n = staged(read_table(spark, d, "events"), path, "event_id")
+    return parquet_stream(spark, path, EVENT_DDL, max_files=n)
 
 
 def _registrations(ev: DataFrame) -> DataFrame:
@@ -52,27 +62,34 @@ USERS_DDL = "user_id LONG, device_id LONG, mac_address STRING, timestamp TIMESTA
 
 
 def first_seen_insert_only_q(spark: SparkSession, d: str) -> DataFrame:
-    """Silver ``users`` as the reference builds it: stateful de-duplication on
-    (user_id, device_id), then an insert-only merge on user_id (M1, J7, T7)."""
+    """The keys of silver ``users`` as the reference builds it: stateful
+    de-duplication on (user_id, device_id), then an insert-only merge on
+    user_id, so a later batch hits users that are there (M1, J7, A7, T7). Every
+    registration arrives twice. Which device stays depends on arrival."""
     root = scratch_dir(spark, "first_seen_insert_only")
-    regs = _registrations(_source(spark, d)).dropDuplicates(["user_id", "device_id"])
+    ev = _source(spark, d, root)
+    regs = _registrations(ev.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))))
     target = AppendTable(spark, f"{root}/users", USERS_DDL, keys=["user_id"],
                          order_cols=["timestamp", "device_id"])
-    await_queries([start_stream(regs, f"{root}/_ckpt", foreach_batch=target.merge,
-                                output_mode="update")])
-    return target.read()
+    await_queries([start_stream(regs.dropDuplicates(["user_id", "device_id"]), f"{root}/_ckpt",
+                                foreach_batch=target.merge, output_mode="update")])
+    return target.read().groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def first_seen_earliest_wins_q(spark: SparkSession, d: str) -> DataFrame:
     """Silver ``users`` with earliest-wins over target and batch (M6 reversed):
-    the same answer however the rows are split into micro-batches."""
+    the same answer however the rows are split into micro-batches. The merge
+    alone decides; de-duplication before it would keep the first to arrive.
+    Devices repeat: an event's device is its number's last digit, and every
+    tenth registration has no time."""
     root = scratch_dir(spark, "first_seen_earliest_wins")
-    regs = _registrations(_source(spark, d, STAGED_FILES, root)).dropDuplicates(
-        ["user_id", "device_id"])
-    target = SnapshotTable(spark, f"{root}/users", USERS_DDL, keys=["user_id"],
-                           mode="earliest_wins", order_cols=["timestamp", "device_id"])
-    await_queries([start_stream(regs, f"{root}/_ckpt", foreach_batch=target.merge,
-                                output_mode="update")])
+    regs = _source(spark, d, root).select(
+        "user_id", (F.col("event_id") % 10).alias("device_id"),
+        F.lpad(F.hex(F.col("event_id") % 10), 12, "0").alias("mac_address"),
+        F.when(F.col("event_id") % 10 != 3, F.col("ts")).alias("timestamp"))
+    target = LogTable(spark, f"{root}/users", USERS_DDL, keys=["user_id"],
+                      mode="earliest_wins", order_cols=["timestamp", "device_id"])
+    await_queries([start_stream(regs, f"{root}/_ckpt", foreach_batch=target.merge)])
     return target.read()
 
 
@@ -84,38 +101,33 @@ def latest_profile_q(spark: SparkSession, d: str) -> DataFrame:
     """Silver ``user_profile``: latest record per user wins (M6), payload
     struct flattened into columns (P8)."""
     root = scratch_dir(spark, "latest_profile")
-    ev = _source(spark, d, STAGED_FILES, root)
+    ev = _source(spark, d, root)
     upd = flatten(ev.select("user_id", F.col("event_type").alias("update_type"),
                             F.col("value").alias("score"),
                             F.from_json("props", PAYLOAD_DDL).alias("payload"),
                             F.col("event_id").alias("offset"),
                             F.col("ts").alias("timestamp")), "payload")
-    target = SnapshotTable(spark, f"{root}/profile", PROFILE_DDL, keys=["user_id"],
-                           mode="latest_wins", order_cols=["timestamp", "offset"])
-    await_queries([start_stream(upd, f"{root}/_ckpt", foreach_batch=target.merge,
-                                output_mode="update")])
+    target = LogTable(spark, f"{root}/profile", PROFILE_DDL, keys=["user_id"],
+                      mode="latest_wins", order_cols=["timestamp", "offset"])
+    await_queries([start_stream(upd, f"{root}/_ckpt", foreach_batch=target.merge)])
     return target.read()
 
 
-def pairs_streaming_q(spark: SparkSession, d: str) -> DataFrame:
-    """Start/stop pairing as a stream-stream interval join with watermarks."""
-    root = scratch_dir(spark, "pairs_streaming")
+PAIRS_DDL = "user_id LONG, session_id INT, start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ"
 
-    def actions(kind: str) -> DataFrame:
-        return _source(spark, d).where(F.col("event_type") == kind)
 
-    starts = actions(START).select("user_id",
-                                   F.from_json("props", PAYLOAD_DDL)["k"].alias("session_id"),
-                                   to_instant("ts").alias("start_time"))
-    stops = actions(STOP).select("user_id", to_instant("ts").alias("end_time"))
-    pairs = pair_actions_stream(starts, stops, ["user_id"], max_gap=PAIR_GAP,
-                                watermark=PAIR_GAP)
-    out = pairs.select("user_id", "session_id", "start_time", "end_time")
-    sink = f"{root}/pairs"
-    await_queries([start_stream(out, f"{root}/_ckpt", path=sink)])
-    res = spark.read.parquet(sink)
-    return res.select("user_id", "session_id", to_wall("start_time").alias("start_time"),
-                      to_wall("end_time").alias("end_time"))
+def pairs_streaming_q(spark: SparkSession, d: str) -> DataFrame:
+    """Start/stop pairing over a stream in several micro-batches: one stateful
+    aggregation per (user, session) in update mode (J4); a session that a later
+    batch extends is stored again, and its last state counts."""
+    root = scratch_dir(spark, "pairs_streaming")
+    actions = _source(spark, d, root).select(
+        "user_id", F.from_json("props", PAYLOAD_DDL)["k"].alias("session_id"), "ts", "event_type")
+    pairs = pair_actions(actions, ["user_id", "session_id"], "ts", "event_type", START, STOP)
+    target = LogTable(spark, f"{root}/pairs", PAIRS_DDL, keys=["user_id", "session_id"], mode="update")
+    await_queries([start_stream(pairs, f"{root}/_ckpt", foreach_batch=target.merge,
+                                output_mode="update")])
+    return target.read()
 
 
 SUMMARY_DDL = ("user_id LONG, event_type STRING, segment STRING, min_value DOUBLE, "
@@ -126,16 +138,15 @@ def summary_stream_q(spark: SparkSession, d: str) -> DataFrame:
     """Gold summary as a stateful streaming aggregation in update mode, joined
     with a static dimension and upserted per micro-batch (A1, T5, T8, K3, M2)."""
     root = scratch_dir(spark, "summary_stream")
-    ev = _source(spark, d, STAGED_FILES, root)
-    dims = sized_broadcast(read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"])
-                           .select(F.col("c_custkey").alias("user_id"),
-                                   F.col("c_mktsegment").alias("segment")))
+    ev = _source(spark, d, root)
+    dims = read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"]).select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     agg = (ev.groupBy("user_id", "event_type")
            .agg(F.min("value").alias("min_value"), F.avg("value").alias("avg_value"),
                 F.max("value").alias("max_value"), F.count("value").alias("n"))
            .join(dims, "user_id"))
-    target = SnapshotTable(spark, f"{root}/summary", SUMMARY_DDL,
-                           keys=["user_id", "event_type"], mode="update")
+    target = LogTable(spark, f"{root}/summary", SUMMARY_DDL,
+                      keys=["user_id", "event_type"], mode="update")
     await_queries([start_stream(agg, f"{root}/_ckpt", foreach_batch=target.merge,
                                 output_mode="update")])
     return target.read().withColumn("avg_value", F.round("avg_value", 6))
@@ -149,7 +160,7 @@ def csv_ingest_q(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events", ["event_id", "user_id", "ts"])
     (_registrations(ev).select("user_id", "device_id", "mac_address",
                                epoch_double("timestamp").alias("registration_timestamp"))
-     .repartition(STAGED_FILES).write.option("header", "true").csv(landing))
+     .write.option("header", "true").csv(landing))
     src = with_ingest_columns(csv_stream(spark, landing, REGISTRATION_CSV))
     await_queries([start_stream(src, f"{root}/_ckpt", path=bronze)])
     return spark.read.parquet(bronze).select("user_id", "device_id", "mac_address",
@@ -157,22 +168,23 @@ def csv_ingest_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bus_ingest_q(spark: SparkSession, d: str) -> DataFrame:
-    """Bronze bus dump: JSON envelopes -> stream (2 files per trigger) ->
-    parquet partitioned by (topic, week_part); then the ``click`` branch is
-    read back with a partition filter and its payload decoded (S3, P15, K6)."""
+    """Bronze bus dump: JSON envelopes -> ``Lakehouse.bronze_bus`` -> parquet
+    partitioned by (topic, week_part); then the ``click`` branch is read back
+    with a partition filter and its payload decoded (S3, P15, K6). Every
+    BAD_EVERY-th message has its epoch in microseconds: such a message is kept,
+    without a week."""
     root = scratch_dir(spark, "bus_ingest")
-    landing, bronze = f"{root}/landing", f"{root}/bus_dump"
     ev = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    seconds = epoch_seconds("ts")
     env = to_envelope(ev, key="event_id", topic="event_type", partition="user_id",
-                      offset="event_id", timestamp=epoch_seconds("ts"), value_col="props",
-                      binary=False)
-    env.repartition(STAGED_FILES).write.options(**JSON_OPTIONS).json(landing)
-    src = json_stream(spark, landing, ENVELOPE, max_files=2)
-    dated = src.withColumn("date", F.to_date(F.timestamp_seconds("timestamp")))
-    dated = with_ingest_columns(dated.withColumn("week_part", week_part("date")))
-    await_queries([start_stream(dated, f"{root}/_ckpt", path=bronze,
-                                partition_by=["topic", "week_part"])])
-    clicks = spark.read.parquet(bronze).where(F.col("topic") == READING)
+                      offset="event_id", value_col="props", binary=False,
+                      timestamp=F.when(F.col("event_id") % BAD_EVERY == 0, seconds * 1_000_000)
+                      .otherwise(seconds))
+    env.write.options(**JSON_OPTIONS).json(f"{root}/landing/bus")
+    lh = Lakehouse(spark, root=f"{root}/tables", checkpoints=f"{root}/_checkpoints",
+                   landing=f"{root}/landing", max_files=2)
+    await_queries([lh.bronze_bus()])
+    clicks = lh.read("bus_dump").where(F.col("topic") == READING)
     dec = flatten(decode_envelope(clicks, PAYLOAD_DDL, keep=["week_part"]), "value")
     return dec.select("key", "k", "topic", "offset", "timestamp", "week_part")
 
@@ -182,8 +194,8 @@ def compact_files_q(spark: SparkSession, d: str) -> DataFrame:
     compaction then rewrites them as few files (K5), read with a declared schema."""
     root = scratch_dir(spark, "compact_files")
     small = f"{root}/small"
-    ev = _source(spark, d, STAGED_FILES, root)
+    ev = _source(spark, d, root)
     await_queries([start_stream(ev, f"{root}/_ckpt", path=small, fmt="json",
                                 query_name="events_json", options=JSON_OPTIONS)])
-    out = compact(spark, small, f"{root}/compacted", EVENT_DDL, rows_per_file=COMPACT_ROWS)
+    out = compact(spark, small, f"{root}/compacted", EVENT_DDL, bytes_per_file=COMPACT_BYTES)
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props")

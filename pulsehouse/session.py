@@ -2,9 +2,10 @@
 
 Scratch data (stream checkpoints, merge snapshots, landing zones built by the
 stand-in plans) always lives under the folder the cluster names in
-``spark.checkpoint.dir``; a machine-local temporary folder is only used when
-that setting is absent (local tests), and then it is registered as the
-session's checkpoint directory.
+``spark.checkpoint.dir``. Where that is unset, a session on one machine
+(``local`` master) gets a temporary folder, registered as its checkpoint
+directory; on a cluster it is an error, as executors would each write to a
+disk of their own.
 """
 
 from __future__ import annotations
@@ -26,8 +27,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Broadcast only on measured sizes: no broadcast from static (file-size)
     # estimates; AQE converts a join to broadcast once a shuffle stage has
-    # materialised and its real size is known. Explicit broadcasts go through
-    # ``operators.joins.sized_broadcast`` (row-count proof).
+    # materialised and its real size is known.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.streaming.stateStore.providerClass":
@@ -57,13 +57,16 @@ def build_session(master: str | None = None, app: str = "pulsehouse",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; a temp folder only if unset."""
+    """The shared folder from ``spark.checkpoint.dir``; if that is unset, a
+    temporary folder for a local master and an error for any other."""
     global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _fallback_root is None:
         _fallback_root = tempfile.mkdtemp(prefix="pulsehouse-ckpt-")
         spark.sparkContext.setCheckpointDir(_fallback_root)

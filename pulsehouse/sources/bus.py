@@ -2,7 +2,7 @@
 
 Uses Spark's Kafka source when its connector is on the class path. Without
 it, the same envelope columns come from a file stream of envelopes (see
-``pulsehouse.streaming.layers.ingest_bus``); all later operators only need
+``Lakehouse.bronze_bus``); all later operators only need
 the envelope schema, not the transport.
 """
 

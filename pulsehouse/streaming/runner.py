@@ -14,14 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def start_stream(df: DataFrame, checkpoint: str, *, path: str | None = None,
-                 fmt: str = "parquet",
+                 table: str | None = None, fmt: str = "parquet",
                  foreach_batch: Callable[[DataFrame, int], None] | None = None,
                  output_mode: str = "append", once: bool = True,
                  processing_time: str = "15 seconds", query_name: str | None = None,
                  partition_by: list[str] | tuple[str, ...] | None = None,
                  options: dict[str, str] | None = None,
                  pool: str | None = None) -> StreamingQuery:
-    """Start ``df`` into a file sink (K1, K2) or a micro-batch callback (K3).
+    """Start ``df`` into a file sink or managed table (K1, K2) or a micro-batch
+    callback (K3).
 
     Every query has its own checkpoint folder (T6); exactly-once for file
     sinks comes from the sink's commit log, for callbacks from idempotent
@@ -35,13 +36,15 @@ def start_stream(df: DataFrame, checkpoint: str, *, path: str | None = None,
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
-        w = w.format(fmt).option("path", path)
+        w = w.format(fmt)
+        if path:
+            w = w.option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=processing_time)
     if pool:
         df.sparkSession.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
-    return w.start()
+    return w.toTable(table) if table else w.start()
 
 
 def await_queries(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
@@ -61,10 +64,3 @@ def stop_after(query: StreamingQuery, seconds: float) -> StreamingQuery:
     query.awaitTermination(seconds)
     query.stop()
     return query
-
-
-def run_waves(waves: list[list[Callable[[], StreamingQuery]]]) -> None:
-    """Start each wave's queries together and wait for them before the next
-    (T13): a later wave reads tables the earlier one wrote."""
-    for wave in waves:
-        await_queries([start() for start in wave])

@@ -75,3 +75,13 @@ def test_envelope_round_trip_keeps_microseconds(spark):
                                    ts_as_long=False), "value").first()
     assert back.key == "7" and back.v == 6.55
     assert back.ts == dt.datetime(2024, 1, 1, 0, 0, 1, 123456)
+
+
+def test_epochs_out_of_range_become_null(spark):
+    from pulsehouse.functions.time import epoch_to_timestamp
+    rows = [(1.7e9,), (1.7e15,), (-1e300,), (float("nan"),), (None,), (253402300799.0,), (-62135596800.0,)]
+    out = spark.createDataFrame(rows, "x double").select(epoch_to_timestamp("x").isNotNull().alias("ok"))
+    assert [r.ok for r in out.collect()] == [True, False, False, False, False, True, True]
+    out = spark.createDataFrame([(1_700_000_000_000_000,), (1_700_000_000,)], "x long").select(
+        epoch_to_timestamp("x").isNull().alias("no"))
+    assert [r.no for r in out.collect()] == [True, False]

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from pulsehouse.operators import (attach_readings, interval_join, pair_actions,
-                                  sized_broadcast, visit_report)
+                                  visit_report)
 
 T = dt.datetime
 
@@ -92,12 +92,30 @@ def test_readings_attach_inclusive_and_valid_only(spark):
     assert sorted(r.heartrate for r in out.collect()) == [80.0, 90.0]
 
 
-def test_sized_broadcast_only_when_bounded(spark):
-    facts = spark.range(1000).withColumn("k", F.col("id") % 10)
-    dims = spark.range(10).withColumnRenamed("id", "k")
-    small = facts.join(sized_broadcast(dims, max_rows=100), "k")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert sized_broadcast(dims, max_rows=5) is dims
+def test_long_ranges_are_copied_to_few_buckets(spark):
+    """99 ten-minute sessions, one of 54 years and one of the whole calendar: no range
+    is copied more than WIDER + 1 times, and the result is that of the plain join."""
+    from pulsehouse.operators import joins
+    base = T(2024, 1, 1)
+    rngs = [("a", i, base + dt.timedelta(hours=i), base + dt.timedelta(hours=i, minutes=10)) for i in range(99)]
+    rngs += [("a", 99, T(1970, 1, 1), base), ("a", 100, T(1, 1, 1), T(9999, 12, 31)), ("b", 101, base, base),
+             ("a", 102, base, T(2023, 1, 1)), ("a", 103, None, base)]
+    pts = [("a", i, base + dt.timedelta(minutes=7 * i)) for i in range(800)] + [("b", 900, base), ("a", 901, T(1960, 5, 5))]
+    r = spark.createDataFrame(rngs, "k string, rid int, lo timestamp_ntz, hi timestamp_ntz")
+    p = spark.createDataFrame(pts, "k string, pid int, t timestamp_ntz")
+    a = interval_join(p, r, ["k"], "t", "lo", "hi", strategy="range")
+    for base_width in (1, 60, 86_400):
+        b = interval_join(p, r, ["k"], "t", "lo", "hi", bucket_seconds=base_width)
+        assert sorted(map(tuple, b.collect())) == sorted(map(tuple, a.collect()))
+    width = joins._width(joins._level(joins.epoch_seconds("hi") - joins.epoch_seconds("lo"), 60), 60)
+    copies = r.where("hi >= lo").select((joins._bucket("hi", width) - joins._bucket("lo", width) + 1).alias("n"))
+    assert copies.agg(F.max("n")).first()[0] <= joins.WIDER + 1
+
+
+def test_interval_join_without_ranges(spark):
+    p = spark.createDataFrame([("a", 1, T(2024, 1, 1))], "k string, pid int, t timestamp_ntz")
+    r = spark.createDataFrame([("a", 1, T(2024, 1, 2), T(2024, 1, 1))], "k string, rid int, lo timestamp_ntz, hi timestamp_ntz")
+    assert interval_join(p, r, ["k"], "t", "lo", "hi").count() == 0
 
 
 def test_hot_key_is_spread_over_buckets(spark):

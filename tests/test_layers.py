@@ -9,6 +9,10 @@ from pulsehouse.session import scratch_dir
 from conftest import SMALL
 
 
+def bpm_msgs_of(lh):
+    return lh.read("bus_dump").where("topic = 'bpm'").count()
+
+
 @pytest.fixture(scope="module")
 def run(spark):
     root = scratch_dir(spark, "test_layers")
@@ -24,6 +28,14 @@ def test_invariants(spark, run):
                                           "completed_workouts", "heart_rate", "workout_bpm"]}
     bpm_msgs = lh.read("bus_dump").where("topic = 'bpm'").count()
     assert n["users"] == n["user_profile"] == n["user_bins"] > 0
+    for layer in ("bronze", "silver", "gold"):
+        checks = lh.validate(layer, {"users": n["users"], "workouts": n["workouts"]} if layer == "silver" else None
+                             ) if layer != "bronze" else lh.validate(layer, {"bpm": bpm_msgs_of(lh)})
+        assert all(r.ok for r in checks.collect())
+    wrong = lh.validate("gold", {"workout_bpm_summary": gold_rows + 1}).where("not ok").collect()
+    assert [(r.expected, r.actual) for r in wrong] == [(gold_rows + 1, gold_rows)]
+    with pytest.raises(ValueError):
+        lh.validate("gold", {"users": 1})
     assert n["workouts"] == 2 * n["completed_workouts"]
     assert n["heart_rate"] <= bpm_msgs                      # (device, time) de-duplicated
     assert 0 < n["workout_bpm"] <= n["heart_rate"] * n["completed_workouts"]
@@ -98,3 +110,80 @@ def test_gold_with_watermark_matches(spark, run):
     got = lakehouse(spark, root, summary_watermark="1 day").run()
     assert got.count() == gold_rows
     assert got.exceptAll(lh.read("workout_bpm_summary")).count() == 0
+
+
+def test_two_landings_equal_one(spark, run):
+    """The run split over two landings gives the tables of the single run, and a
+    third run without input starts no batch over old rows."""
+    import pathlib
+    _, whole, gold_rows = run
+    root = scratch_dir(spark, "test_layers_split")
+    write_landing(spark, SMALL, f"{root}/all")
+    local = pathlib.Path(root.removeprefix("file:"))
+    again = None
+    for part in (0, 1):
+        for folder in ("registrations", "gym_logins", "bus"):
+            files = sorted((local / "all" / folder).glob("part-*"))
+            (local / "landing" / folder).mkdir(parents=True, exist_ok=True)
+            for i, f in enumerate(files):
+                lines = f.read_text().splitlines(keepends=True)
+                head = lines[:1] if f.suffix == ".csv" else []
+                body = [x for j, x in enumerate(lines[len(head):]) if j % 2 == part]
+                (local / "landing" / folder / f"{part}-{f.name}").write_text("".join(head + body))
+        again = lakehouse(spark, root)
+        again.run()
+    for t in ("users", "user_profile", "user_bins", "gym_logs", "workouts", "heart_rate",
+              "completed_workouts", "workout_bpm_summary"):
+        a, b = again.read(t), whole.read(t)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, t
+    keys = ["user_id", "workout_id", "session_id", "time", "heartrate"]
+    a, b = again.read("workout_bpm").select(keys), whole.read("workout_bpm").select(keys)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    third = lakehouse(spark, root)
+    third.run()
+    assert all(q.lastProgress is None or q.lastProgress["numInputRows"] == 0 for q in third.started)
+    assert third.read("workout_bpm_summary").count() == gold_rows
+
+
+def test_continuous_run_returns_and_takes_late_files(spark):
+    """``once=False``: all queries run side by side, and a late file reaches gold."""
+    import time
+    root = scratch_dir(spark, "test_layers_on")
+    write_landing(spark, SMALL, f"{root}/landing", topics=("user_info", "workout"))
+    lh = lakehouse(spark, root, once=False, processing_time="1 second")
+    queries = lh.run()
+    try:
+        assert {q.name for q in queries} >= {"users", "bus_silver", "workout_bpm_summary"}
+        write_landing(spark, SMALL, f"{root}/late", topics=("bpm",))
+        import pathlib
+        for f in pathlib.Path(f"{root}/late/bus".removeprefix("file:")).glob("*.json"):
+            f.rename(f"{root}/landing/bus/late-{f.name}".removeprefix("file:"))
+        end = time.time() + 240
+        while time.time() < end and not lh.read("workout_bpm_summary").count():
+            assert all(q.isActive for q in queries), [q.exception() for q in queries]
+            time.sleep(2)
+        assert lh.read("workout_bpm_summary").count() > 0
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_set_up_and_missing_tables(spark):
+    root = scratch_dir(spark, "test_set_up")
+    lh = lakehouse(spark, root)
+    lh.set_up()
+    lh.set_up()
+    for t in lh.TABLE_NAMES:
+        assert lh.read(t).count() == 0
+    spark.sql("CREATE DATABASE IF NOT EXISTS ph_set_up")
+    assert "users" in lh.missing_tables("ph_set_up")
+    spark.sql("DROP DATABASE ph_set_up CASCADE")
+
+
+def test_streams_can_start_from_a_stored_time(spark, run):
+    root, lh, _ = run
+    later = lakehouse(spark, root, since="2200-01-01")
+    later.checkpoints = f"{root}/_checkpoints_since"
+    q = later.gold_summary()
+    q.awaitTermination()
+    assert not q.lastProgress or q.lastProgress["sink"]["numOutputRows"] in (0, -1)

@@ -1,9 +1,10 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from pulsehouse.operators import AppendTable, SnapshotTable, merge_rows, pick_per_key
+from pulsehouse.operators import AppendTable, LogTable, merge_rows, pick_per_key, read_if_there
 from pulsehouse.session import scratch_dir
 
 T = dt.datetime
@@ -79,16 +80,122 @@ def test_pick_per_key_hot_key_plan_is_partial(spark):
     assert out.first().v == 9999
 
 
-def test_snapshot_replay_is_idempotent(spark):
-    root = scratch_dir(spark, "test_snapshot")
-    t = SnapshotTable(spark, root, USERS, ["user_id"], "earliest_wins",
-                      ["timestamp", "device_id"])
+def test_log_replay_is_idempotent(spark):
+    root = scratch_dir(spark, "test_log_replay")
+    t = LogTable(spark, root, USERS, ["user_id"], "earliest_wins", ["timestamp", "device_id"])
     assert t.read().count() == 0
     t.merge(_df(spark, [(1, 11, T(2024, 1, 2))]), 0)
     t.merge(_df(spark, [(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))]), 1)
     t.merge(_df(spark, [(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))]), 1)   # replay
     assert _rows(t.read(), "user_id", "device_id") == [(1, 10), (2, 20)]
-    assert t.version() == 1
+
+
+def _damage(folder):
+    """Overwrite every data file under a local folder with junk."""
+    for f in pathlib.Path(folder.removeprefix("file:")).rglob("*.parquet"):
+        f.write_bytes(b"junk" * 10)
+        crc = f.parent / f".{f.name}.crc"
+        if crc.exists():
+            crc.write_bytes(b"")
+
+
+def test_an_unreadable_table_is_not_an_empty_table(spark):
+    """A restarted writer that cannot read what is stored fails; it does not begin anew."""
+    root = scratch_dir(spark, "test_damage")
+    rows = [(i, i, T(2024, 1, 1)) for i in range(3)]
+    log = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
+    log.merge(_df(spark, rows), 0)
+    log.compact()
+    _damage(f"{root}/log/bases")
+    again = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
+    with pytest.raises(Exception):
+        again.read().collect()
+    with pytest.raises(Exception):
+        again.compact()
+    app = AppendTable(spark, f"{root}/app", USERS, ["user_id", "timestamp"], date_of="timestamp")
+    app.merge(_df(spark, rows), 0)
+    _damage(f"{root}/app")
+    with pytest.raises(Exception):
+        AppendTable(spark, f"{root}/app", USERS, ["user_id", "timestamp"],
+                    date_of="timestamp").merge(_df(spark, rows), 1)
+    assert read_if_there(spark, "x int", f"{root}/nothing") is None
+
+
+def test_a_base_cut_short_is_not_read(spark):
+    root = scratch_dir(spark, "test_base")
+    t = LogTable(spark, root, USERS, ["user_id"], "update")
+    for b in (0, 1):
+        t.merge(_df(spark, [(5 * b + i, i, T(2024, 1, 1)) for i in range(5)]), b)
+    # a compaction that ended half way: some of its rows, and no note of its end
+    t.read().limit(5).write.parquet(f"{root}/base/log_base=1")
+    assert t.read().count() == 10
+    assert t.compact() == 1 and t.read().count() == 10
+
+
+def test_log_compacts_by_itself(spark):
+    root = scratch_dir(spark, "test_compact")
+    t = LogTable(spark, root, USERS, ["user_id"], "latest_wins", ["timestamp"], compact_every=2)
+    for b in range(5):
+        t.merge(_df(spark, [(1, b, T(2024, 1, 1 + b)), (10 + b, 0, None)]), b)
+    assert t._base_id() == 3
+    assert _rows(t.read(), "user_id", "device_id") == [(1, 4), (10, 0), (11, 0), (12, 0), (13, 0), (14, 0)]
+
+
+def test_null_times_lose_in_both_directions(spark):
+    rows = [(1, 5, None), (1, 6, T(2024, 1, 1)), (1, 7, T(2024, 1, 3)), (2, 8, None)]
+    for latest, want in ((False, 6), (True, 7)):
+        out = pick_per_key(_df(spark, rows), ["user_id"], ["timestamp"], latest)
+        assert _rows(out, "user_id", "device_id") == [(1, want), (2, 8)]
+    for batches in ([[rows[0]], rows[1:]], [rows[1:], [rows[0]]]):
+        assert _rows(_apply(spark, batches, "earliest_wins"), "user_id", "device_id") == [(1, 6), (2, 8)]
+
+
+def test_null_keys_are_inserted_once(spark):
+    rows = [(None, 1, T(2024, 1, 1)), (2, 2, None), (3, 3, T(2024, 1, 1))]
+    for name, kw in (("a", {}), ("b", {"date_of": "timestamp"})):
+        t = AppendTable(spark, f"{scratch_dir(spark, 'test_null_keys')}/{name}", USERS,
+                        ["user_id", "timestamp"], **kw)
+        t.merge(_df(spark, rows), 0)
+        t.merge(_df(spark, rows), 1)
+        assert t.read().count() == 3
+
+
+def test_partition_column_comes_from_a_key(spark):
+    with pytest.raises(ValueError):
+        AppendTable(spark, "/nowhere", USERS, ["user_id"], date_of="timestamp")
+    one = (1, 1, T(2024, 1, 1, 23, 59))
+    two = (1, 1, T(2024, 1, 2, 0, 1))
+    for batches in ([[one, two]], [[one], [two]], [[two], [one]]):
+        t = AppendTable(spark, scratch_dir(spark, "test_midnight"), USERS,
+                        ["user_id", "device_id", "timestamp"], date_of="timestamp")
+        for i, b in enumerate(batches):
+            t.merge(_df(spark, b), i)
+        assert t.read().count() == 2
+        assert t.read(T(2024, 1, 2), T(2024, 1, 3)).count() == 1
+
+
+def test_files_of_a_batch_grow_with_the_batch(spark):
+    """A small batch into a large table writes a few files, whatever the table's size."""
+    files = lambda p: {f for f in pathlib.Path(p.removeprefix("file:")).rglob("part-*.parquet")}
+    root = scratch_dir(spark, "test_batch_files")
+    app = AppendTable(spark, f"{root}/app", USERS, ["user_id", "timestamp"], date_of="timestamp")
+    log = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
+    many = _df(spark, [(i, i, T(2024, 1, 1) + dt.timedelta(days=i % 60)) for i in range(3000)])
+    for t in (app, log):
+        t.merge(many, 0)
+        before = files(t.root)
+        t.merge(_df(spark, [(10_000, 1, T(2024, 1, 5)), (5, 5, T(2024, 1, 6))]), 1)
+        added = files(t.root) - before
+        assert before <= files(t.root) and 1 <= len(added) <= 8
+    assert len({f.parent for f in files(app.root)}) == 60
+
+
+def test_only_touched_partitions_are_opened(spark):
+    root = scratch_dir(spark, "test_touched")
+    t = AppendTable(spark, root, USERS, ["user_id", "timestamp"], date_of="timestamp")
+    t.merge(_df(spark, [(i, i, T(2024, 1, 1 + i)) for i in range(20)]), 0)
+    one = t._stored([dt.date(2024, 1, 3), dt.date(2030, 1, 1)])
+    assert len(one.inputFiles()) == 1 and t._stored([dt.date(2031, 1, 1)]) is None
 
 
 def test_append_table_replay_adds_nothing(spark):
@@ -145,7 +252,6 @@ def test_merge_independent_of_batch_split(spark, rows, cuts):
 def test_log_table_equals_copy_on_write(spark, rows, cuts, compact_after):
     """Merge-on-read (LogTable, with a compaction somewhere in the sequence)
     gives the same table as merging batch by batch."""
-    from pulsehouse.operators.merge import LogTable
     ddl = "k int, t int, v int"
     bounds = sorted({0, len(rows), *[min(c, len(rows)) for c in cuts]})
     batches = [rows[a:b] for a, b in zip(bounds, bounds[1:]) if rows[a:b]]

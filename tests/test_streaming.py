@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from pulsehouse.operators import SnapshotTable
+from pulsehouse.operators import LogTable
 from pulsehouse.schemas import REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
 from pulsehouse.sources.files import csv_stream, parquet_stream, with_ingest_columns
@@ -48,12 +48,12 @@ def test_earliest_wins_one_vs_many_batches(spark):
         src = parquet_stream(spark, f"{root}/src", ddl, max_files=1)
         regs = src.select("user_id", F.col("event_id").alias("device_id"),
                           F.col("ts").alias("timestamp"))
-        t = SnapshotTable(spark, f"{root}/t", "user_id long, device_id long, "
-                          "timestamp timestamp_ntz", ["user_id"], "earliest_wins",
-                          ["timestamp", "device_id"])
+        t = LogTable(spark, f"{root}/t", "user_id long, device_id long, "
+                     "timestamp timestamp_ntz", ["user_id"], "earliest_wins",
+                     ["timestamp", "device_id"])
         q = start_stream(regs, f"{root}/_ckpt", foreach_batch=t.merge)
         await_queries([q])
-        assert t.version() == files - 1
+        assert t._log().agg(F.max("log_batch")).first()[0] == files - 1
         results.append(sorted(map(tuple, t.read().collect())))
     assert results[0] == results[1]
     batch = (spark.read.parquet(f"{SMALL}/events.parquet").groupBy("user_id")
@@ -94,3 +94,42 @@ def test_table_stream_from_ingest_time(spark):
     s = table_stream(spark, f"{root}/t", "id LONG, load_time TIMESTAMP", since="2023-01-01")
     await_queries([start_stream(s, f"{root}/_ckpt", path=f"{root}/out")])
     assert [r.id for r in spark.read.parquet(f"{root}/out").collect()] == [2]
+
+
+def test_managed_table_sink(spark):
+    root = scratch_dir(spark, "test_managed")
+    ddl = spark.read.parquet(f"{SMALL}/events.parquet").schema
+    spark.sql("DROP TABLE IF EXISTS ph_managed_events")
+    src = parquet_stream(spark, SMALL, ddl, glob="events.parquet").select("event_id")
+    await_queries([start_stream(src, f"{root}/_ckpt", table="ph_managed_events")])
+    assert spark.table("ph_managed_events").count() == spark.read.parquet(f"{SMALL}/events.parquet").count()
+    spark.sql("DROP TABLE ph_managed_events")
+
+
+def test_envelope_writer_is_gated(spark):
+    import pytest
+    from pulsehouse.functions import to_envelope
+    from pulsehouse.sources.bus import bus_available, write_envelopes
+    if bus_available(spark):
+        pytest.skip("Kafka connector present")
+    env = to_envelope(spark.range(3).withColumn("v", F.lit("x")), key="id", topic=F.lit("t"))
+    assert [r.key for r in env.orderBy("key").collect()] is not None
+    with pytest.raises(RuntimeError):
+        write_envelopes(env, "localhost:9092")
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from pulsehouse import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
