@@ -1,0 +1,134 @@
+"""BagMinHash signatures and near-duplicate classes against brute force."""
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import re
+
+from pulsehouse.llm import bagminhash, neardup
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def bag(text):
+    words = re.findall(r"\w+", (text or "").lower()) or [(text or "").strip()]
+    return Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4)))
+
+
+def index(a, b):
+    both = sum((a & b).values())
+    return both / (sum(a.values()) + sum(b.values()) - both)
+
+
+def classes(rows):
+    """doc_id -> smallest id of its component, by comparing all documents that share a shingle."""
+    bags, holds = [bag(t) for _, t in rows], defaultdict(set)
+    for i, b in enumerate(bags):
+        for s in b:
+            holds[s].add(i)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, b in enumerate(bags):
+        for j in set().union(*(holds[s] for s in b)):
+            if j > i and index(b, bags[j]) >= neardup.LIKE:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    least = defaultdict(lambda: 1 << 62)
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least[find(i)], d)
+    return {d: least[find(i)] for i, (d, _) in enumerate(rows)}
+
+
+def test_signatures_estimate_the_weighted_index():
+    rng = np.random.default_rng(3)
+    errors = []
+    for _ in range(40):
+        n = int(rng.integers(1, 300))
+        a = np.sort(rng.integers(0, 2 ** 63, n, dtype=np.uint64))
+        wa = rng.integers(1, 20, n)
+        same = rng.random(n) < rng.random()
+        b = np.where(same, a, rng.integers(0, 2 ** 63, n, dtype=np.uint64))
+        wb = np.where(rng.random(n) < 0.5, wa, rng.integers(1, 40, n))
+        order = np.argsort(b)
+        true = neardup.likeness((a, wa), (b[order], wb[order]))
+        s = bagminhash.signatures(np.concatenate([a, b]), np.concatenate([wa, wb]), np.repeat([0, 1], n), 2, 1024)
+        errors.append((s[0] == s[1]).mean() - true)
+    assert abs(np.mean(errors)) < 0.006 and np.abs(errors).max() < 0.07
+
+
+def test_signatures_do_not_depend_on_company():
+    a, w = np.arange(1, 50, dtype=np.uint64), np.arange(1, 50)
+    alone = bagminhash.signatures(a, w, np.zeros(49, int), 1, 64)
+    both = bagminhash.signatures(np.concatenate([a, a[:3]]), np.concatenate([w, w[:3]]), np.repeat([1, 3], [49, 3]), 5, 64)
+    assert (alone[0] == both[1]).all() and not both[0].any() and both[3].any()
+
+
+def test_bags_hold_all_shingles_with_counts(monkeypatch):
+    texts = ["a b c d e a b c d e a b c d e", "one two", "", "...", "A B c D e", "x" * 50 + " " + "y " * 40, "É_1 漢字 ß"]
+    monkeypatch.setattr(neardup, "CHARS", 8)
+    value, count, row = neardup.bags(texts)
+    for i, t in enumerate(texts):
+        assert sorted(count[row == i]) == sorted(bag(t).values())
+    for i in range(len(texts)):
+        for j in range(len(texts)):
+            got = neardup.likeness((value[row == i], count[row == i]), (value[row == j], count[row == j]))
+            assert got == pytest.approx(index(bag(texts[i]), bag(texts[j])))
+
+
+def test_edge_rows(spark, edge_docs, no_docs):
+    got = defaultdict(set)
+    rows = neardup.near_duplicates(edge_docs).collect()
+    for r in rows:
+        got[r.doc_id].add(r.class_id)
+    assert len(rows) == 10
+    assert got[1] == {1} and got[4] == {4} and got[6] == {6} and got[7] == {7}
+    assert got[2] == got[3] == {2} and 2 in got[None] and len(got[None]) == 2
+    assert max(got[None]) > 1 << 62
+    assert neardup.near_duplicates(no_docs).count() == 0
+
+
+def test_chains_copies_and_common_passages(spark):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    say = lambda n: list(rng.choice(vocabulary, n))
+    rows, base = [], say(200)
+    rows += [(i, " ".join(base)) for i in range(100, 140)]                       # copies
+    step = base
+    for i in range(12):                                                          # a chain of versions
+        step = step[:]
+        step[15 * i:15 * i + 3] = say(3)
+        rows.append((200 + i, " ".join(step)))
+    passage = say(60)
+    rows += [(300 + i, " ".join(passage + say(40))) for i in range(40)]          # share a passage only
+    rows += [(400 + i, " ".join(passage + say(8))) for i in range(30)]           # nearly linked, or linked
+    rows += [(500 + i, " ".join(say(150))) for i in range(30)]
+    df = spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(df).collect()}
+    assert got == classes(rows)
+
+
+def test_blocks_of_a_large_bucket_miss_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    sig = np.random.default_rng(1).integers(0, 1 << 30, (2, 150)).astype("int32").tolist()
+    nodes = spark.createDataFrame([(i, sig[i % 2]) for i in range(30)], "node long, signature array<int>")
+    bands = spark.createDataFrame([(7, i) for i in range(30)], "band long, node long")
+    labels = spark.createDataFrame([(i, 0) for i in (0, 2, 4)], "node long, label long")
+    got = {(r.a, r.b) for r in neardup.apart(bands, labels, nodes).collect()}
+    name = lambda i: 0 if i in (0, 2, 4) else i
+    assert got == {(i, j) for i in range(30) for j in range(i + 1, 30) if i % 2 == j % 2 and name(i) != name(j)}
+
+
+def test_components_of_long_paths(spark):
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, 99), (99, 98), (60, 70)]
+    got = {r.node: r.label for r in neardup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 98, 99: 98, 98: 98, 60: 60, 70: 60}
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == classes([tuple(r) for r in docs.collect()])

@@ -1,0 +1,103 @@
+"""Packing: every id in one piece, full sequences, ids as the library gives them."""
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from pulsehouse.llm import packing
+
+PATH = packing.default_tokenizer()
+
+
+@pytest.fixture(scope="module")
+def words():
+    return packing.WordIds(PATH)
+
+
+def plain(words, text):
+    return words.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_are_those_of_the_library(words):
+    rng = random.Random(2)
+    parts = [chr(i) for i in range(256)] + ["'s", "'LL", "<|endoftext|>", "the", "The", "́", "漢", "Σ", "İ", "￼", "  "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += ["a<|startoftext|>b", "it's I'VE x'y '", "\x1c\x1d\x85\xa0", "½²10", "", " ", "x" * 5000]
+    assert words.by_word
+    for t in texts:
+        assert np.frombuffer(words(t), "<u4").tolist() == plain(words, t), t
+
+
+def test_other_vocabularies_are_encoded_whole():
+    import public_tokenizers
+    other = packing.WordIds(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_word
+    for t in ("The cat's", "a  b\n", "é漢"):
+        assert np.frombuffer(other(t), "<u4").tolist() == plain(other, t)
+
+
+def test_kept_words_are_bounded(words, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 40)
+    w = packing.WordIds(PATH)
+    for i in range(60):
+        t = " ".join(f"{chr(97 + i % 26)}{chr(97 + j)}" for j in range(10))
+        assert np.frombuffer(w(t), "<u4").tolist() == plain(w, t)
+        assert len(w.known) <= 40 and len(w.older) <= 40
+
+
+def test_longest_first_to_the_cheapest_with_room():
+    got = packing.pack(np.array([10, 70, 40, 60]), np.array([100, 80]))
+    # 70 and 60 open the sequences, 40 is cut as neither has room for it, 10 fills the rest
+    assert [(i, n) for i, _, n, _, _ in got][:2] == [(1, 70), (3, 60)]
+    used = defaultdict(int)
+    for _, _, n, seq, offset in got:
+        assert offset == used[seq]
+        used[seq] += n
+    assert used == {0: 100, 1: 80}
+    costs = [sum(packing.cost(n) for _, _, n, s, _ in packing.pack(np.full(64, 64), np.full(8, 512)) if s == k) for k in range(8)]
+    assert max(costs) == min(costs)
+
+
+def check(rows, texts, capacity=packing.CAPACITY, words=None):
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        docs[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for s in sequences.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at and n > 0
+            at += n
+        assert at == capacity or at & (at - 1) == 0 and at < capacity
+    assert set(docs) == set(texts)
+    for d, many in texts.items():
+        ids = [np.array(plain(words, t) + [2], dtype="<u4") for t in many]
+        assert sum(n for _, n, *_ in docs[d]) == sum(map(len, ids))
+        if len(ids) == 1:
+            at = 0
+            for start, n, crc, tokens in sorted(docs[d]):
+                assert start == at and tokens == len(ids[0])
+                assert crc == zlib.crc32(ids[0][start:start + n].tobytes())
+                at += n
+            assert at == len(ids[0])
+
+
+def test_edge_rows(spark, edge_docs, no_docs, words):
+    texts = defaultdict(list)
+    for r in edge_docs.collect():
+        texts[r.doc_id].append(r.text)
+    check(packing.pack_documents(edge_docs, digests=True).collect(), texts, words=words)
+    check(packing.pack_documents(edge_docs, digests=True, capacity=64).collect(), texts, 64, words=words)
+    assert packing.pack_documents(no_docs).count() == 0
+    ids = [r.ids for r in packing.pack_documents(edge_docs.where("doc_id = 7")).collect()]
+    assert sum(ids, []) == plain(words, "two words") + [2]
+
+
+def test_whole_table(spark, words):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.pack_documents(docs, digests=True).collect()
+    check(rows, {r.doc_id: [r.text] for r in docs.collect()}, words=words)
+    again = packing.pack_documents(docs, digests=True).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))

@@ -1,0 +1,51 @@
+"""The pipeline's stages on a small table: order, columns, and what each keeps."""
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as C
+from pulsehouse.llm import mixing, neardup, quality, toxicity
+from pulsehouse.llm.common import read_table, stored
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    assert [n for n, _ in C.STAGES] == ["quality classifier", "toxicity", "MinHash near-dedup", "mixing sources", "packing"]
+    docs = read_table(spark, SF, "documents")
+    labels = read_table(spark, SF, "labels")
+    kept = [docs]
+    for name, stage in C.STAGES:
+        kept.append(stored(stage(spark, kept[-1], SF), "t"))
+    for d in kept[1:-1]:
+        assert d.columns == docs.columns and [t for _, t in d.dtypes] == [t for _, t in docs.dtypes]
+    ids = [[r.doc_id for r in d.select("doc_id").collect()] for d in kept]
+    good = {r.doc_id for r in quality.score(docs, quality.train(docs, labels)).collect() if r.predicted}
+    assert Counter(ids[1]) == Counter(good)
+    bad = {r.doc_id for r in toxicity.score(docs, toxicity.train(docs, labels)).collect() if r.predicted}
+    assert Counter(ids[2]) == Counter(good - bad)
+    assert Counter(ids[3]) == Counter({r.class_id for r in neardup.near_duplicates(kept[2]).collect()})
+    taken = {r.doc_id: r.taken // r.size for r in mixing.mix(kept[3]).collect() if r.size}
+    assert Counter({i: n for i, n in Counter(ids[4]).items() if i in taken}) == Counter({i: n for i, n in taken.items() if n})
+    assert set(ids[5]) == set(ids[4])
+    marks = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
+    clean = [i for i, m in marks.items() if m == (1, 0)]
+    assert sum(i in set(ids[2]) for i in clean) > 0.9 * len(clean)
+
+
+def test_dedup_keeps_one_row_of_each_class(spark, edge_docs, no_docs):
+    out = C.keep_one_of_each(spark, edge_docs, SF)
+    assert out.columns == edge_docs.columns
+    rows = [r.doc_id for r in out.collect()]
+    assert sorted(x for x in rows if x is not None) == [1, 2, 4, 5, 6, 7] and rows.count(None) == 1
+    assert C.keep_one_of_each(spark, no_docs, SF).count() == 0
+
+
+@pytest.mark.parametrize("stage", [s for _, s in C.STAGES])
+def test_edge_rows_pass_all_stages(spark, edge_docs, no_docs, stage):
+    stage(spark, edge_docs, SF).collect()
+    assert stage(spark, no_docs, SF).count() == 0
+
+
+def test_run(spark):
+    assert C.run(spark, SF).count() > 0

@@ -1,0 +1,53 @@
+"""Exact top-k against all scores."""
+import math
+
+import numpy as np
+import pytest
+
+from pulsehouse.llm import topk
+
+
+def plain(rows, k=5, every=50):
+    best = {}
+    for i, v in rows:
+        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        w = [math.floor(float(np.float32(x)) * 256) for x in v]
+        best[i] = max(best.get(i, w), w)
+    out = []
+    for q, a in best.items():
+        if q % every == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in best.items() if i != q)
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
+
+
+def run(spark, rows, **more):
+    df = spark.createDataFrame([(i, v, 3, 1) for i, v in rows], "vec_id long, embedding array<float>, label int, score int")
+    return sorted(tuple(r) for r in topk.top_k(df, **more).collect())
+
+
+def test_edge_rows(spark):
+    rows = [(0, [0.5, -0.25]), (50, None), (100, [None, 1.0]), (150, [float("nan"), 1.0]), (1, [0.5, -0.25]),
+            (2, [0.5, -0.25]), (3, []), (None, [1.0, 1.0]), (4, [float("inf"), 0.0]), (-50, [-1.0, 0.001]), (5, [0.25]),
+            (6, [9.0, 9.0]), (6, [9.0, 9.0]), (7, [7.0, 8.0]), (7, [7.5, 0.0]), (8, [3000.0, -3000.0])]
+    got = run(spark, rows)
+    assert got == plain(rows) and {r[0] for r in got} == {0, -50}
+    assert run(spark, rows[:1]) == [] and run(spark, rows[:0]) == []
+    assert len(run(spark, rows[:1] + rows[4:6])) == 2
+
+
+@pytest.mark.parametrize("spread", [0.2, -0.2, 400.0])
+def test_blocks_ties_and_negative_scores(spark, monkeypatch, spread):
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(4)
+    base = rng.normal(0, abs(spread), (300, 12)) - (1 if spread < 0 else 0)
+    base[100:180] = base[50]          # one very common vector
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(base)]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(i, [float(2 ** 22 + i), float(2 ** 21 - i)]) for i in range(60)]
+    assert run(spark, rows) == plain(rows)
