@@ -12,10 +12,13 @@ connected components of the links.
    signatures make a link implausible go, and the exact overlap of the bags settles the
    rest. Two nodes with an index of 0.8 share a band but for one case in 100,000.
 3. Links become components by passing on the smallest label, with pointer jumping. A bucket
-   whose nodes are all in one component needs no further look. In other buckets the nodes
-   of different components are compared in blocks of about ``BLOCK`` by signature, and
-   plausible pairs are settled as before; so no link between different texts is lost,
-   however large a bucket is, and a large group of copies costs one pair a member.
+   whose nodes are all in one component needs no further look. In the others, rounds pair
+   every node outside the bucket's main component with one more member of that component,
+   another one in each round, as long as that settles a good part of these nodes.
+4. What is left is compared in full: each node outside its bucket's main component with
+   all nodes of the bucket, in cells of at most about ``BLOCK`` by ``WIDE`` nodes, by
+   signature and then by the bags themselves. So no link between different texts is lost,
+   however large a bucket is, and a large group of copies costs a few pairs a member.
 
 Defined results: a null text is empty. A text of fewer than ``WORDS`` words has one
 shingle of all its words; a text without words has one "word", the text without blanks at
@@ -46,7 +49,11 @@ BANDS, ROWS = 30, 5
 #: Share of equal components below which two signatures cannot belong to a link: at an
 #: index of 0.8 a share of 150 components lies below it once in a billion cases.
 PLAUSIBLE = 0.6
-BLOCK = 64
+BLOCK, WIDE = 64, 512
+#: Buckets of so many nodes at most are compared by a plain join.
+SMALL = 32
+#: Rounds go on while they settle at least this share of the nodes outside main components.
+PROGRESS = 0.1
 #: Characters that a task holds as numbers at once.
 CHARS = 1 << 21
 _ODD = 0x9E3779B97F4A7C15
@@ -228,34 +235,79 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def apart(bands: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of plausible nodes that share a bucket but not a component."""
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label; other nodes are alone) after the links (a, b) are added."""
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    between = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+               .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+    merged = components(between)
+    told = labels.unionAll(links.select(F.explode(F.array("a", "b")).alias("node"))
+                           .distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+    new = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return stored(told.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")),
+                  "neardup-labels")
+
+
+def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, node, label, main, size, outside: the nodes of buckets with several components.
+    main: the label that most nodes of the bucket have; outside: how many have another."""
     named = bands.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    mixed = (named.groupBy("band").agg(F.count("*").alias("size"), F.min("label").alias("least"),
-                                       F.max("label").alias("most"))
-             .where("least != most").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    placed = named.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # each pair of blocks is a cell: a node goes to the cells of its block with every block
-    cells = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", "node", "label", "block", F.least("block", "other").alias("one"),
-                     F.greatest("block", "other").alias("two"))
-             .join(nodes.select("node", "signature"), "node"))
+    each = named.groupBy("band", "label").agg(F.count("*").alias("n"))
+    mixed = (each.groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"),
+                                      F.count("*").alias("labels"))
+             # of two nodes the star has compared the one pair there is
+             .where("labels > 1 and size > 2")
+             .select("band", "m.label", "size", (F.col("size") - F.col("m.n")).alias("outside"))
+             .withColumnRenamed("label", "main"))
+    return stored(named.join(mixed, "band"), "neardup-unsettled")
+
+
+def another_member(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each node outside with one member of its bucket's main component."""
+    hubs = (members.where("label = main").groupBy("band")
+            .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub")))
+    return (members.where("label != main").join(hubs, "band")
+            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
+
+
+def pairs_of_small(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) across components in buckets of at most SMALL nodes."""
+    few = members.where(F.col("size") <= SMALL)
+    one = few.where("label != main").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
+    two = few.select("band", F.col("node").alias("y"), F.col("label").alias("ly"))
+    return (one.join(two, "band").where("lx != ly")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
+def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) across components in buckets of more than SMALL nodes."""
+    many = members.where(F.col("size") > SMALL)
+    tall, wide = (F.ceil(F.col(c) / n).cast("int") for c, n in (("outside", BLOCK), ("size", WIDE)))
+    row = lambda n: F.pmod(F.xxhash64("node", n), n).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    outside = many.where("label != main").select("band", row(tall).alias("i"), all_of(wide).alias("j"),
+                                                 "node", "label", F.lit(True).alias("left"), F.lit(True).alias("out"))
+    every = many.select("band", all_of(tall).alias("i"), row(wide).alias("j"),
+                        "node", "label", F.lit(False).alias("left"), (F.col("label") != F.col("main")).alias("out"))
+    known = stored(texts.join(many.select("node").distinct(), "node").groupBy("node")
+                   .agg(F.min("text").alias("text")).join(nodes.select("node", "signature"), "node"), "neardup-large")
+    cells = outside.unionByName(every).join(known, "node")
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
-        sig = np.stack(rows["signature"].to_numpy())
-        node, label = rows["node"].to_numpy(), rows["label"].to_numpy()
-        block, across = rows["block"].to_numpy(), rows["one"].iloc[0] != rows["two"].iloc[0]
-        a, b = [], []
-        for i in range(len(rows) - 1):
-            j = np.arange(i + 1, len(rows))
-            j = j[(label[j] != label[i]) & ((block[j] != block[i]) | (not across))]
+        value, count, row = bags(rows["text"].tolist())
+        e = np.searchsorted(row, np.arange(len(rows) + 1))
+        sig, node = np.stack(rows["signature"].to_numpy()), rows["node"].to_numpy()
+        label, left, out = (rows[c].to_numpy() for c in ("label", "left", "out"))
+        right, found = np.flatnonzero(~left), []
+        for i in np.flatnonzero(left):
+            j = right[(label[right] != label[i]) & (~out[right] | (node[right] > node[i]))]
             j = j[(sig[j] == sig[i]).mean(axis=1) >= PLAUSIBLE]
-            a.append(np.minimum(node[i], node[j]))
-            b.append(np.maximum(node[i], node[j]))
-        none = np.zeros(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.concatenate(a) if a else none, "b": np.concatenate(b) if b else none})
+            mine = value[e[i]:e[i + 1]], count[e[i]:e[i + 1]]
+            found += [(min(node[i], node[k]), max(node[i], node[k])) for k in j
+                      if likeness(mine, (value[e[k]:e[k + 1]], count[e[k]:e[k + 1]])) >= LIKE]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return cells.groupBy("band", "one", "two").applyInPandas(cell, "a long, b long").distinct()
+    return cells.groupBy("band", "i", "j").applyInPandas(cell, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -266,15 +318,30 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
-    stars = bands.where("a != node").select("a", F.col("node").alias("b")).distinct()
     texts = documents.select(row_id().alias("node"), shown("text").alias("text"))
-    first = stored(plausible(stars, nodes), "neardup-pairs")
-    links = stored(verified(first, texts), "neardup-verified")
+
+    def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The plausible pairs among new ones, and those of them that are links."""
+        some = stored(plausible(pairs, nodes), "neardup-pairs")
+        return some, stored(verified(some, texts), "neardup-links")
+
+    tested, links = settle(bands.where("a != node").select("a", F.col("node").alias("b")).distinct())
     labels = components(links)
-    rest = stored(apart(bands.select("band", "node"), labels, nodes).join(first, ["a", "b"], "left_anti"), "neardup-rest")
-    if rest.limit(1).count():
-        more = stored(verified(rest, texts), "neardup-more")
-        if more.limit(1).count():
-            labels = components(links.unionAll(more))
+    members, turn = unsettled(bands, labels), 0
+    outside = members.where("label != main").select("node").distinct().count()
+    while outside:
+        some, links = settle(another_member(members, turn).join(tested, ["a", "b"], "left_anti"))
+        tested, turn = tested.unionAll(some), turn + 1
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
+            members = unsettled(bands, labels)
+        before, outside = outside, members.where("label != main").select("node").distinct().count()
+        if before - outside < PROGRESS * before:
+            break
+    if outside:
+        some, links = settle(pairs_of_small(members).join(tested, ["a", "b"], "left_anti"))
+        links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
     found = nodes.join(labels, "node", "left").select("key1", "key2", F.coalesce("label", "node").alias("class_id"))
     return docs.select("doc_id", "key1", "key2").join(found, ["key1", "key2"]).select("doc_id", "class_id")
