@@ -106,12 +106,12 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
     if not len(y) or y.min() == y.max():
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-9), 1 - 1e-9)
         return Model(none, none.astype(np.float32), float(np.log(share / (1 - share))))
-    found = [distinct_bins(t) for t in texts]
-    flat = np.concatenate(found)
-    doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    del found
-    df = np.bincount(flat, minlength=1 << BITS)
-    pos = np.bincount(flat, weights=y[doc], minlength=1 << BITS)
+    # two passes over the texts, so that only the bins that stay are held for all
+    df, pos = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for t, toxic in zip(texts, y):
+        bins = distinct_bins(t)
+        df[bins] += 1
+        pos[bins] += toxic
     neg = df - pos
     p = (pos + smooth) / (y.sum() + 2 * smooth)
     q = (neg + smooth) / (len(y) - y.sum() + 2 * smooth)
@@ -120,11 +120,12 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
     sure = np.abs(ratio) / np.sqrt(1 / (pos + smooth) + 1 / (neg + smooth)) * (df >= least)
     usable = np.sort(np.argsort(-sure, kind="stable")[:features])
     usable = usable[sure[usable] > 0]
-    column = np.full(1 << BITS, -1, dtype=np.int64)
+    column = np.full(1 << BITS, -1, dtype=np.int32)
     column[usable] = np.arange(len(usable))
-    col = column[flat]
-    use = col >= 0
-    doc, col = doc[use], col[use]
+    held = [column[distinct_bins(t)] for t in texts]
+    held = [c[c >= 0] for c in held]
+    doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(c) for c in held])
+    col = np.concatenate(held)
     scale = ratio[usable]
     value = scale[col]
     share = weights / weights.sum()
