@@ -196,7 +196,8 @@ def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose bags' exact index is at least LIKE. ``texts``: node, text."""
+    """The pairs (a, b) whose bags' exact index is at least LIKE. ``texts``: node, text,
+    each node once."""
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             keep = []
@@ -208,10 +209,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep += [likeness(bag[i], bag[i + len(part)]) >= LIKE for i in range(len(part))]
             yield b.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    some = stored(texts.join(needed, "node").groupBy("node").agg(F.min("text").alias("text")), "neardup-texts")
-    one = some.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    two = some.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return pairs.join(one, "a").join(two, "b").mapInPandas(task, "a long, b long")
 
 
@@ -289,8 +288,8 @@ def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> Da
                                                  "node", "label", F.lit(True).alias("left"), F.lit(True).alias("out"))
     every = many.select("band", all_of(tall).alias("i"), row(wide).alias("j"),
                         "node", "label", F.lit(False).alias("left"), (F.col("label") != F.col("main")).alias("out"))
-    known = stored(texts.join(many.select("node").distinct(), "node").groupBy("node")
-                   .agg(F.min("text").alias("text")).join(nodes.select("node", "signature"), "node"), "neardup-large")
+    known = stored(texts.join(many.select("node").distinct(), "node")
+                   .join(nodes.select("node", "signature"), "node"), "neardup-large")
     cells = outside.unionByName(every).join(known, "node")
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
@@ -318,7 +317,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
-    texts = documents.select(row_id().alias("node"), shown("text").alias("text"))
+    # the texts of nodes that share a bucket, from one pass over the documents
+    texts = stored(documents.select(row_id().alias("node"), shown("text").alias("text"))
+                   .join(bands.select("node").distinct(), "node").groupBy("node")
+                   .agg(F.min("text").alias("text")), "neardup-texts")
 
     def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The plausible pairs among new ones, and those of them that are links."""
