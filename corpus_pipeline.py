@@ -49,9 +49,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences, with the token ids' crc32."""
+    """Pieces of documents in sequences, with the token ids' crc32. The workers have run the
+    stages before, so they keep fewer words than the operator by itself."""
     workers_find_package(spark)
-    return packing.pack_documents(docs, digests=True)
+    return packing.pack_documents(docs, digests=True, kept_words=200_000)
 
 
 STAGES = [("quality classifier", keep_good), ("toxicity", keep_clean),

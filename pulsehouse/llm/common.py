@@ -68,11 +68,11 @@ def pieces(texts: Iterable[str | None], size: int, overlap: int = 0,
                 cut = max(text.rfind(" ", start, end), text.rfind("\n", start, end))
                 end = cut + 1 if cut >= start else end
             piece = text[start:end if last else end + overlap]
-            if held and held + len(piece) > size:
+            if held and held + len(piece) + 2 > size:
                 yield group
                 group, held = [], 0
             group.append((row, piece, last))
-            held += len(piece)
+            held += len(piece) + 2      # callers pad a piece at both ends
             if last:
                 break
             start = end

@@ -55,7 +55,7 @@ SMALL = 32
 #: Rounds go on while they settle at least this share of the nodes outside main components.
 PROGRESS = 0.1
 #: Characters that a task holds as numbers at once.
-CHARS = 1 << 21
+CHARS = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -69,7 +69,7 @@ def _word_characters() -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
-    n = 2 * (1 << 20)
+    n = 1 << 20
     up, down = (np.full(n, f, dtype=np.uint64) for f in (_ODD, pow(_ODD, -1, 1 << 64)))
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
@@ -79,7 +79,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row number) of all words of the texts, in order."""
     is_word = _word_characters()
     hashes, rows = [], []
-    for group in pieces((t.lower() for t in texts), 1 << 19, at_space=True):
+    for group in pieces((t.lower() for t in texts), 1 << 18, at_space=True):
         parts = [code_points(f" {p} ") for _, p, _ in group]
         codes = np.concatenate(parts)
         owner = np.repeat(np.array([r for r, _, _ in group]), [len(p) for p in parts])

@@ -38,7 +38,7 @@ END_ID = 2
 GROUP = 1 << 18
 #: Estimated cost of a token and of a pair of tokens in one document.
 LINEAR, SQUARE = 1.0, 1.0 / 2048
-#: Words whose ids a worker keeps.
+#: Words whose ids a worker keeps, unless told otherwise.
 KEPT_WORDS = 800_000
 
 
@@ -66,9 +66,10 @@ class WordIds:
     word end. Any other text, texts with special tokens, and all texts under a vocabulary
     with another rule, go to the library whole."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int | None = None) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.kept = KEPT_WORDS if kept is None else kept
         # without the places of the ids in the text, where the library offers that
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         made = json.loads(self.tokenizer.to_str())
@@ -115,7 +116,7 @@ class WordIds:
                     start = stop
             for i in missing:
                 found[i] = new[words[i]]
-            if len(self.known) + len(new) > KEPT_WORDS // 2:
+            if len(self.known) + len(new) > self.kept // 2:
                 self.older, self.known = self.known, {}
             self.known.update((w, ids) for w, ids in new.items() if len(w) <= 64)
         return b"".join(found)
@@ -125,9 +126,9 @@ class WordIds:
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, kept: int) -> WordIds:
     """One for each worker process, which keeps its words from task to task."""
-    return WordIds(path)
+    return WordIds(path, kept)
 
 
 def cost(tokens: np.ndarray | int) -> np.ndarray | float:
@@ -207,9 +208,11 @@ SCHEMA = ("doc_id long, start long, length long, {} doc_tokens long, sequence_id
 
 
 def pack_documents(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
-                   end_id: int = END_ID, digests: bool = False) -> DataFrame:
+                   end_id: int = END_ID, digests: bool = False,
+                   kept_words: int = KEPT_WORDS) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens, sequence_id, offset: one row for each piece.
-    With ``digests`` the ids' crc32 (ids_crc32 long) stands in for the ids."""
+    With ``digests`` the ids' crc32 (ids_crc32 long) stands in for the ids. A worker keeps
+    the ids of ``kept_words`` words, about 200 bytes each: more are faster."""
     path = tokenizer or default_tokenizer()
     end = np.array([end_id], dtype="<u4").tobytes()
     fields = {("ids_crc32" if digests and k == "ids" else k): (pa.int64() if digests and k == "ids" else v)
@@ -218,7 +221,7 @@ def pack_documents(documents: DataFrame, tokenizer: str | None = None, capacity:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         packer = Packer(capacity, (context.partitionId() if context else 0) << 32)
-        ids_of = word_ids(path)
+        ids_of = word_ids(path, kept_words)
         names: list[int | None] = []      # of the documents that may still have pieces
         sizes: list[int] = []
         out: list[tuple] = []

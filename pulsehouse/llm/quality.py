@@ -37,7 +37,7 @@ WIDTH = 12
 #: Rows of each class that a model learns from, at most, and the longest text among them.
 ROWS_PER_CLASS = 2500
 LONGEST = 20_000
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 BLANK = np.uint32(32)
 #: Bins of "a text ends", which counts ENDS times for each text so that a few words alone
 #: do not settle a score, and of "a word equals the word before it".
@@ -129,21 +129,24 @@ def fit(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, epochs
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-9), 1 - 1e-9)
         return Model(np.zeros(1 << BITS, dtype=np.float32), float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
-    docs = []
+    # bins and shares of all texts in two long arrays, which go back to the system whole
+    bins, shares, ends = [], [], [0]
     for t in texts:
-        bins = features(_codes(t or ""))[1]
-        u, c = np.unique(bins, return_counts=True)
-        docs.append((np.append(u, END), (np.append(c, ENDS) / (len(bins) + ENDS)).astype(np.float32)))
+        u, c = np.unique(features(_codes(t or ""))[1], return_counts=True)
+        bins.append(np.append(u, np.int32(END)))
+        shares.append((np.append(c, ENDS) / (c.sum() + ENDS)).astype(np.float32))
+        ends.append(ends[-1] + len(u) + 1)
+    bins, shares = np.concatenate(bins), np.concatenate(shares)
     table = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH)).astype(np.float32)
     out = np.zeros((2, WIDTH), dtype=np.float32)
     bias = np.zeros(2, dtype=np.float32)
     share = weights / weights.mean()
-    total, done = epochs * len(docs), 0
+    total, done = epochs * len(y), 0
     for _ in range(epochs):
-        for i in rng.permutation(len(docs)):
+        for i in rng.permutation(len(y)):
             step = np.float32(rate * (1 - done / total))
             done += 1
-            u, c = docs[i]
+            u, c = bins[ends[i]:ends[i + 1]], shares[ends[i]:ends[i + 1]]
             hidden = c @ table[u]
             z = out @ hidden + bias
             p = np.exp(z - z.max())
