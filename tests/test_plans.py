@@ -1,5 +1,7 @@
 """Plan-shape guards on the batch queries (no cross products, pruned scans,
 aggregation before joins)."""
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -28,6 +30,19 @@ def test_summary_aggregates_before_joining(spark):
     first_join = min(plan.find("Join"), len(plan))
     assert plan.rfind("partial_min") > first_join
     # the readings scan reads only the two columns it needs
-    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in \
-        df._jdf.queryExecution().executedPlan().treeString() or \
-        "l_orderkey:bigint,l_quantity:double" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_no_plan_probes_a_side_in_one_task(spark):
+    """No join side is counted or limited on a single partition before the join."""
+    for name in ("session_summary", "visit_minutes", "age_bins"):
+        assert "SinglePartition" not in _plan(E.queries()[name](spark, SMALL))
+
+
+def test_reading_rule_reaches_the_scan(spark):
+    """The rule is a plain comparison right above the scan, which parquet row groups can
+    be skipped by; no coalesce stands around it."""
+    plan = E.queries()["readings_in_sessions"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    rule = [x for x in plan.splitlines() if "Filter" in x and "click" in x][0]
+    assert re.search(r"value#\d+ >= 1\.0", rule) and re.search(r"value#\d+ <= 220\.0", rule)
+    assert "coalesce(" not in rule
