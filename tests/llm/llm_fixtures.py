@@ -1,19 +1,15 @@
-import os
-import sys
-
+"""Fixtures that the operators' tests import by name."""
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-MIDDLE = "/root/testdata/sf0.01"
+SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
 def edge_docs(spark):
     """Nulls in every column, empty and very long texts, ties, repeated rows, and extra
     columns whose names the operators use themselves."""
-    from pulsehouse.llm.common import workers_find_package
-    workers_find_package(spark)
+    from pulsehouse.llm.common import prepare
+    prepare(spark)
     long = " ".join(f"word{i % 977} idiot{i % 7}" for i in range(120_000))
     rows = [(1, "A small text, said once.", "en", "a", 24), (1, "A small text, said once.", "en", "a", 24),
             (2, None, "en", "b", None), (3, "", None, None, 0), (4, long, "en", "a", len(long)),

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from llm_fixtures import SMALL, edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import quality, queries, toxicity
 from pulsehouse.llm.common import pieces

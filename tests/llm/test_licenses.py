@@ -2,6 +2,7 @@
 import re
 
 import pytest
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import licenses
 from pulsehouse.llm.licenses import compile_template, words_of

@@ -2,6 +2,7 @@
 import hashlib
 
 import pytest
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import lzprint
 

@@ -3,6 +3,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import mixing
 

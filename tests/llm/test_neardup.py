@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import re
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import bagminhash, neardup
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 from pulsehouse.llm import packing
 

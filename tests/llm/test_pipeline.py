@@ -2,6 +2,7 @@
 from collections import Counter
 
 import pytest
+from llm_fixtures import edge_docs, no_docs  # noqa: F401
 
 import corpus_pipeline as C
 from pulsehouse.llm import mixing, neardup, quality, toxicity
