@@ -14,26 +14,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsehouse.llm import mixing, neardup, packing, quality, toxicity
-from pulsehouse.llm.common import read_table, stored, workers_find_package
+from pulsehouse.llm.common import read_table, stored, prepare
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores 0.7 or more."""
-    workers_find_package(spark)
+    prepare(spark)
     model = quality.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model, 0.7)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier scores below 0.5."""
-    workers_find_package(spark)
+    prepare(spark)
     model = toxicity.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model, 0.5)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each class of near-duplicates: that with the class's smallest id."""
-    workers_find_package(spark)
+    prepare(spark)
     keep = (neardup.near_duplicates(docs).select(F.coalesce("doc_id", "class_id").alias("id__"), "class_id")
             .where("id__ = class_id").select("id__").distinct())
     named = docs.withColumn("id__", neardup.row_id())
@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences, with the token ids' crc32. The workers have run the
     stages before, so they keep fewer words than the operator by itself."""
-    workers_find_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs, digests=True, kept_words=200_000)
 
 

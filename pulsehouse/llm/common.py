@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse.session import scratch_dir
 from pulsehouse.sources.tables import read_table
 
-__all__ = ["read_table", "stored", "code_points", "pieces", "partitions", "shown",
-           "workers_find_package"]
+__all__ = ["read_table", "stored", "code_points", "pieces", "partitions", "shown", "give_back",
+           "prepare"]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -34,6 +36,30 @@ def workers_find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [set_paths, root]))
 
 
+#: Whole texts are passed to Python, so a batch is bounded by its bytes, not by Spark's
+#: 10,000 rows and 64 MB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+           "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b")}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings for Python workers: where this package is, and small batches, unless the
+    session has sizes of its own."""
+    workers_find_package(spark)
+    for key, (default, ours) in BATCHES.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, ours)
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:      # not glibc
+        pass
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

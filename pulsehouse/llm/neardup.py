@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsehouse.llm.bagminhash import mix, signatures
-from pulsehouse.llm.common import code_points, pieces, shown, stored
+from pulsehouse.llm.common import code_points, give_back, pieces, shown, stored
 
 WORDS = 5
 LIKE = 0.8
@@ -54,8 +54,8 @@ BLOCK, WIDE = 64, 512
 SMALL = 32
 #: Rounds go on while they settle at least this share of the nodes outside main components.
 PROGRESS = 0.1
-#: Characters that a task holds as numbers at once.
-CHARS = 1 << 20
+#: Characters and rows that a task holds as numbers at once.
+CHARS, ROWS_AT_ONCE = 1 << 20, 500
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -136,12 +136,12 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch of about CHARS characters of text."""
+    """Parts of a batch of about CHARS characters of text and at most ROWS_AT_ONCE rows."""
     texts = batch.column(column).to_pylist()
     start, held = 0, 0
     for i, t in enumerate(texts):
         held += len(t)
-        if held >= CHARS:
+        if held >= CHARS or i + 1 - start >= ROWS_AT_ONCE:
             yield batch.slice(start, i + 1 - start), texts[start:i + 1]
             start, held = i + 1, 0
     if start < len(texts):
@@ -170,6 +170,7 @@ def signed(documents: DataFrame, m: int = BANDS * ROWS) -> DataFrame:
                     "key2": pa.array(keys[1]),
                     "signature": pa.ListArray.from_arrays(
                         pa.array(np.arange(len(texts) + 1) * m, pa.int32()), flat)})
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("id"),
                             shown("text").alias("text"))
@@ -208,6 +209,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 bag = [(value[i:j], count[i:j]) for i, j in zip(e, e[1:])]
                 keep += [likeness(bag[i], bag[i + len(part)]) >= LIKE for i in range(len(part))]
             yield b.loc[np.array(keep, dtype=bool), ["a", "b"]]
+        give_back()
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))

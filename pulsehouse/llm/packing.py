@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import shown
+from pulsehouse.llm.common import give_back, shown
 
 CAPACITY = 4096
 END_ID = 2
@@ -253,6 +253,7 @@ def pack_documents(documents: DataFrame, tokenizer: str | None = None, capacity:
         note(packer.finish())
         if out:
             yield batch()
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), shown("text").alias("text"))
     return rows.mapInArrow(task, SCHEMA.format("ids_crc32 long," if digests else "ids array<int>,"))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import code_points, pieces
+from pulsehouse.llm.common import code_points, give_back, pieces
 from pulsehouse.llm.toxicity import training_rows
 
 ORDERS = (2, 3, 4)
@@ -179,8 +179,11 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality",
             model = fit(all_rows["_text"].tolist(), all_rows["_label"].to_numpy(),
                         all_rows["_stands_for"].to_numpy())
         yield pd.DataFrame({"logits": [model.logits.astype("<f4").tobytes()], "bias": [model.bias]})
+        give_back()
 
-    got = rows.coalesce(1).mapInPandas(task, "logits binary, bias double").collect()[0]
+    got = rows.coalesce(1).mapInPandas(task, "logits binary, bias double").first()
+    if got is None:      # a plan known to be empty runs no task
+        return fit([], np.zeros(0), np.zeros(0))
     return Model(np.frombuffer(bytes(got["logits"]), dtype="<f4"), got["bias"])
 
 
@@ -193,6 +196,7 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
             s = score_texts(b.column("text").to_pylist(), b.num_rows, model)
             yield pa.record_batch({"doc_id": b.column("doc_id"), "score": pa.array(s),
                                    "predicted": pa.array((s >= threshold).astype("int32"))})
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(task, "doc_id long, score double, predicted int")
@@ -206,5 +210,6 @@ def keep_good(documents: DataFrame, model: Model, threshold: float = 0.7) -> Dat
         for b in batches:
             s = score_texts(b.column("text").to_pylist(), b.num_rows, model)
             yield b.filter(pa.array(s >= threshold))
+        give_back()
 
     return documents.mapInArrow(task, documents.schema)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsehouse.llm import (chat, licenses, lzprint, mixing, neardup, packing, quality, topk,
                             toxicity, urlrules)
-from pulsehouse.llm.common import read_table, workers_find_package
+from pulsehouse.llm.common import read_table, prepare
 
 
 def remainder(id_col: str, by: int) -> Column:
@@ -17,7 +17,7 @@ def remainder(id_col: str, by: int) -> Column:
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, score, predicted, held_out. A row without doc_id is not held out."""
-    workers_find_package(spark)
+    prepare(spark)
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = toxicity.train(docs, labels, "toxic", remainder("doc_id", 5) != 0)
     return toxicity.score(docs, model, 0.5).withColumn(
@@ -31,26 +31,26 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    workers_find_package(spark)
+    prepare(spark)
     return lzprint.compare_with_next(read_table(spark, sf_dir, "documents"))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    workers_find_package(spark)
+    prepare(spark)
     return licenses.digest(licenses.scan(read_table(spark, sf_dir, "documents")))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id."""
-    workers_find_package(spark)
+    prepare(spark)
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
     rewrites_history."""
-    workers_find_package(spark)
+    prepare(spark)
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
@@ -60,7 +60,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, score, predicted, held_out. A row without doc_id is not held out."""
-    workers_find_package(spark)
+    prepare(spark)
     docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
     model = quality.train(docs, labels, "quality", remainder("doc_id", 4) != 2)
     return quality.score(docs, model, 0.7).withColumn(
@@ -69,7 +69,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    workers_find_package(spark)
+    prepare(spark)
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), digests=True)
 
 
@@ -87,7 +87,7 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score."""
-    workers_find_package(spark)
+    prepare(spark)
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import code_points, pieces
+from pulsehouse.llm.common import code_points, give_back, pieces
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
@@ -205,9 +205,12 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic",
                         all_rows["_stands_for"].to_numpy())
         yield pd.DataFrame({"bins": [model.bins], "weights": [model.weights],
                             "intercept": [model.intercept]})
+        give_back()
 
     fitted = rows.coalesce(1).mapInPandas(
-        task, "bins array<int>, weights array<float>, intercept double").collect()[0]
+        task, "bins array<int>, weights array<float>, intercept double").first()
+    if fitted is None:      # a plan known to be empty runs no task
+        return fit([], np.zeros(0), np.zeros(0))
     return Model(np.array(fitted["bins"], dtype=np.int32),
                  np.array(fitted["weights"], dtype=np.float32), fitted["intercept"])
 
@@ -222,6 +225,7 @@ def score(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
             s = score_texts(b.column("text").to_pylist(), b.num_rows, model, table)
             yield pa.record_batch({"doc_id": b.column("doc_id"), "score": pa.array(s),
                                    "predicted": pa.array((s >= threshold).astype("int32"))})
+        give_back()
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(task, "doc_id long, score double, predicted int")
@@ -236,5 +240,6 @@ def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.5) -> Da
         for b in batches:
             s = score_texts(b.column("text").to_pylist(), b.num_rows, model, table)
             yield b.filter(pa.array(s < threshold))
+        give_back()
 
     return documents.mapInArrow(task, documents.schema)
