@@ -123,24 +123,33 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
     column = np.full(1 << BITS, -1, dtype=np.int32)
     column[usable] = np.arange(len(usable))
     held = [column[distinct_bins(t)] for t in texts]
-    held = [c[c >= 0] for c in held]
-    doc = np.repeat(np.arange(len(held), dtype=np.int32), [len(c) for c in held])
+    held = [c[c >= 0].astype(np.min_scalar_type(len(usable))) for c in held]
+    doc = np.repeat(np.arange(len(held), dtype=np.min_scalar_type(len(held))), [len(c) for c in held])
     col = np.concatenate(held)
+    del held
     scale = ratio[usable]
-    value = scale[col]
     share = weights / weights.sum()
+
+    # a feature's value is its bin's scale, so sums over a text's features need no more than
+    # these two arrays, block by block
+    def summed(to: np.ndarray, per: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n)
+        for at in range(0, len(to), 1 << 20):
+            out += np.bincount(to[at:at + (1 << 20)], weights=per[of[at:at + (1 << 20)]], minlength=n)
+        return out
+
+    def loss_of(ww: np.ndarray, bb: float) -> tuple[float, np.ndarray]:
+        z = summed(doc, scale * ww, col, len(y)) + bb
+        return float(share @ (np.logaddexp(0, z) - y * z)), z
+
     # accelerated proximal gradient on the weighted logistic loss
     w, b = np.zeros(len(usable)), float(np.log((share @ y) / (1 - share @ y)))
     at_w, at_b, t = w.copy(), b, 1.0
-    norm = np.bincount(doc, weights=value ** 2, minlength=len(y))
-    step = 4.0 / (float(share @ norm) * 1.0 + 1.0)
-    def loss_of(ww: np.ndarray, bb: float) -> tuple[float, np.ndarray]:
-        z = np.bincount(doc, weights=value * ww[col], minlength=len(y)) + bb
-        return float(share @ (np.logaddexp(0, z) - y * z)), z
+    step = 4.0 / (float(share @ summed(doc, scale ** 2, col, len(y))) + 1.0)
     for _ in range(rounds):
         f0, z = loss_of(at_w, at_b)
         r = share * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
-        grad, grad_b = np.bincount(col, weights=value * r[doc], minlength=len(w)), float(r.sum())
+        grad, grad_b = scale * summed(col, r, doc, len(w)), float(r.sum())
         while True:
             new = at_w - step * grad
             new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
