@@ -16,8 +16,9 @@ rule decides, ties for block; a URL without one is allowed.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and no tokens,
 so no rule fits and it is allowed, unless a written rule is for the empty host. Rows stay
-as they are, repeated ones too; label rows with nulls are not learned from; without labels
-there are no mined rules. Other columns are not read; an empty table gives an empty result.
+as they are, repeated ones too; label rows with nulls are not learned from, all others are;
+without labels there are no mined rules. Other columns are not read; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -33,9 +34,7 @@ from pulsehouse.llm.common import partitions, stored
 # The written rules of the query.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
-#: Labelled URLs that rules are mined from, at most, those with the lowest hash of their id.
-MINED_ROWS = 20_000
-#: A mined rule's least share of them, least number of them, and least confidence.
+#: A mined rule's least share of the labelled URLs, least number of them, and least confidence.
 SUPPORT, SUPPORT_ROWS, CONFIDENCE = 0.002, 10, 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,13 +64,16 @@ def tokens_of(url: str = "url") -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, rows: int = MINED_ROWS, support: float = SUPPORT,
+def mine(labelled: DataFrame, rows: int | None = None, support: float = SUPPORT,
          confidence: float = CONFIDENCE) -> DataFrame:
     """rule_id, tokens, key, label, confidence, support. ``labelled``: id, tokens, label.
 
-    ``rows`` bounds what is mined, and with ``support`` the number of rules."""
-    some = (labelled.where("label is not null and size(tokens) > 0")
-            .orderBy(F.xxhash64("id", "tokens"), "id").limit(rows))
+    All labelled URLs are mined, so supports and confidences are counts of the whole table;
+    as ``support`` is a share, the number of itemsets does not grow with it. A caller can ask
+    for ``rows`` of them, those with the lowest hash of their id."""
+    some = labelled.where("label is not null and size(tokens) > 0")
+    if rows is not None:
+        some = some.orderBy(F.xxhash64("id", "tokens"), "id").limit(rows)
     baskets = stored(some.select(F.concat("tokens", F.array(F.concat(F.lit("=" ), "label"))).alias("items")), "url-baskets")
     least = min(1.0, max(support, SUPPORT_ROWS / max(1, baskets.count())))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence,
@@ -116,10 +118,10 @@ def written(rules: Sequence[tuple[str, str, str]] = RULES) -> Column:
 
 
 def judge(pages: DataFrame, labels: DataFrame | None = None,
-          rules: Sequence[tuple[str, str, str]] = RULES, rows: int = MINED_ROWS,
+          rules: Sequence[tuple[str, str, str]] = RULES, rows: int | None = None,
           support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """page_id, host, path, rule, verdict: one row for each row of ``pages``. ``labels``:
-    page_id and label (``block`` or ``allow``) of some pages."""
+    page_id and label (``block`` or ``allow``) of some pages, all of which are mined."""
     rows_ = stored(pages.select(F.col("page_id").cast("long").alias("page_id"), host_of().alias("host"),
                                 path_of().alias("path"), tokens_of().alias("tokens"))
                    .withColumn("fit", written(rules)).withColumn("set_id", F.xxhash64("tokens")), "url-pages")

@@ -87,6 +87,22 @@ def test_mined_rules_and_matches(spark):
     assert verdict[99] == "block" and verdict[91] == "allow"
 
 
+def test_all_labelled_urls_are_mined(spark):
+    n = 24_000
+    labelled = spark.range(n).selectExpr(
+        "id", "if(id % 200 = 7, array('s:http', 'h:rare'), array('s:http', 'h:often')) as tokens",
+        "if(id % 400 = 7 or id % 3 = 0, 'block', 'allow') as label")
+    bad = {i for i in range(n) if i % 400 == 7 or i % 3 == 0}
+    rare = {i for i in range(n) if i % 200 == 7}
+    rules = {(tuple(r.tokens), r.label): r for r in urlrules.mine(labelled).collect()}
+    hit = rules[("h:rare",), "block"]
+    assert round(hit.support * n, 6) == len(rare & bad) and round(hit.confidence, 9) == round(len(rare & bad) / len(rare), 9)
+    rest = rules[("s:http",), "allow"]
+    assert round(rest.support * n, 6) == n - len(bad)
+    part = {tuple(r.tokens): r for r in urlrules.mine(labelled, rows=1_000).collect()}
+    assert round(part["s:http",].support * 1_000, 6) % 1 == 0
+
+
 def test_whole_table(spark):
     d = "/root/testdata/sf0.01"
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{d}/pages.parquet").collect()}
