@@ -32,13 +32,13 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row for each class of near-duplicates: that with the class's smallest id."""
+    """One row for each class of near-duplicates: that with the class's smallest id, and of
+    different texts with that id one that is in the class."""
     prepare(spark)
-    keep = (neardup.near_duplicates(docs).select(F.coalesce("doc_id", "class_id").alias("id__"), "class_id")
-            .where("id__ = class_id").select("id__").distinct())
-    named = docs.withColumn("id__", neardup.row_id())
-    first = Window.partitionBy("id__").orderBy(F.xxhash64("text"))
-    return (named.join(keep, "id__", "left_semi")
+    keep = neardup.firsts(docs).select(F.col("id").alias("id__"), F.col("digest").alias("digest__"))
+    named = docs.withColumn("id__", neardup.row_id()).withColumn("digest__", neardup.text_digest())
+    first = Window.partitionBy("id__", "digest__").orderBy(F.xxhash64("text"))
+    return (named.join(keep, ["id__", "digest__"], "left_semi")
             .withColumn("row__", F.row_number().over(first)).where("row__ = 1")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 

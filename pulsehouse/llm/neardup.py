@@ -6,7 +6,8 @@ Jaccard index of their bags, sum(min) / sum(max), is at least ``LIKE``. Classes
 connected components of the links.
 
 1. One pass over the texts gives each document a 128-bit key of its bag and a BagMinHash
-   signature of ``BANDS * ROWS`` components. Documents with equal bags become one node.
+   signature of ``BANDS * ROWS`` components. Documents with equal bags become one node; its
+   number has nothing to do with their ids.
 2. Signatures are cut into bands; nodes that agree on a band share a bucket. Every node is
    paired with the smallest node of each of its buckets (not with all others), pairs whose
    signatures make a link implausible go, and the exact overlap of the bags settles the
@@ -24,9 +25,9 @@ Defined results: a null text is empty. A text of fewer than ``WORDS`` words has
 shingle of all its words; a text without words has one "word", the text without blanks at
 its ends, so empty texts form a class. A class id is the smallest doc_id in it; a row
 without doc_id shows doc_id null and counts as a number above 2**62 that its text gives.
-Ids are expected to name one text: of rows with equal doc_id and different texts each has
-the class of its own bag, and the smallest of the texts settles the id's links. Repeated
-rows stay. Other columns are not read; an empty table gives an empty result.
+Rows with equal doc_id and different texts are nodes of their own: each text is compared
+and has the class of its own bag. Two classes with one smallest doc_id show the same class
+id; ``firsts`` tells them apart. Repeated rows stay. Other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -154,8 +155,13 @@ def row_id() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
+def text_digest() -> Column:
+    """16 bytes that tell the texts of one id apart."""
+    return F.unhex(F.md5(shown("text").cast("binary")))
+
+
 def signed(documents: DataFrame, m: int = BANDS * ROWS) -> DataFrame:
-    """doc_id, id (never null), key1, key2, signature."""
+    """doc_id, id (never null), digest (of the text), key1, key2, signature."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b, texts in text_slices(whole):
@@ -166,15 +172,15 @@ def signed(documents: DataFrame, m: int = BANDS * ROWS) -> DataFrame:
                         .view(np.int64) for s in (11, 22)]
                 flat = pa.array(signature.view(np.int32).ravel())
                 yield pa.record_batch({
-                    "doc_id": b.column("doc_id"), "id": b.column("id"), "key1": pa.array(keys[0]),
-                    "key2": pa.array(keys[1]),
+                    "doc_id": b.column("doc_id"), "id": b.column("id"), "digest": b.column("digest"),
+                    "key1": pa.array(keys[0]), "key2": pa.array(keys[1]),
                     "signature": pa.ListArray.from_arrays(
                         pa.array(np.arange(len(texts) + 1) * m, pa.int32()), flat)})
         give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("id"),
-                            shown("text").alias("text"))
-    return rows.mapInArrow(task, "doc_id long, id long, key1 long, key2 long, signature array<int>")
+                            text_digest().alias("digest"), shown("text").alias("text"))
+    return rows.mapInArrow(task, "doc_id long, id long, digest binary, key1 long, key2 long, signature array<int>")
 
 
 def share_equal(a: str, b: str) -> Column:
@@ -311,17 +317,21 @@ def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> Da
     return cells.groupBy("band", "i", "j").applyInPandas(cell, "a long, b long").distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, class_id: one row for each row of ``documents``."""
+def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, key1, key2) and the bags (key1, key2, first): ``first`` is the
+    smallest (id, digest) in the bag's class and belongs to no other class."""
     docs = stored(signed(documents), "neardup-signatures")
+    # stored, so that a node keeps its number
     nodes = stored(docs.groupBy("key1", "key2")
-                   .agg(F.min("id").alias("node"), F.any_value("signature").alias("signature")), "neardup-nodes")
+                   .agg(F.min(F.struct("id", "digest")).alias("first"), F.any_value("signature").alias("signature"))
+                   .withColumn("node", F.monotonically_increasing_id()), "neardup-nodes")
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
     # the texts of nodes that share a bucket, from one pass over the documents
-    texts = stored(documents.select(row_id().alias("node"), shown("text").alias("text"))
-                   .join(bands.select("node").distinct(), "node").groupBy("node")
+    named = bands.select("node").distinct().join(nodes.select("node", "first.id", "first.digest"), "node")
+    texts = stored(documents.select(row_id().alias("id"), text_digest().alias("digest"), shown("text").alias("text"))
+                   .join(named, ["id", "digest"]).groupBy("node")
                    .agg(F.min("text").alias("text")), "neardup-texts")
 
     def settle(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -347,5 +357,19 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
         if not links.isEmpty():
             labels = relabelled(labels, links)
-    found = nodes.join(labels, "node", "left").select("key1", "key2", F.coalesce("label", "node").alias("class_id"))
-    return docs.select("doc_id", "key1", "key2").join(found, ["key1", "key2"]).select("doc_id", "class_id")
+    linked = labels.join(nodes.select("node", "first"), "node")
+    least = linked.groupBy("label").agg(F.min("first").alias("least"))
+    linked = linked.join(least, "label").select("node", "least")
+    found = nodes.join(linked, "node", "left").select("key1", "key2", F.coalesce("least", "first").alias("first"))
+    return docs.select("doc_id", "key1", "key2"), found
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, class_id: one row for each row of ``documents``."""
+    docs, found = settled(documents)
+    return docs.join(found, ["key1", "key2"]).select("doc_id", F.col("first.id").alias("class_id"))
+
+
+def firsts(documents: DataFrame) -> DataFrame:
+    """id, digest: for each class the row_id and text_digest of its first document."""
+    return settled(documents)[1].select("first.id", "first.digest").distinct()

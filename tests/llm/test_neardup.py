@@ -165,3 +165,11 @@ def test_whole_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
     assert got == classes([tuple(r) for r in docs.collect()])
+
+
+def test_texts_that_share_an_id_are_nodes_of_their_own(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(7, one), (7, two), (7, two), (1, one + " more"), (2, two + " more"), (9, three), (9, one + " again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id) for r in neardup.near_duplicates(df).collect())
+    assert got == [(1, 1), (2, 2), (7, 1), (7, 2), (7, 2), (9, 1), (9, 9)]

@@ -42,6 +42,13 @@ def test_dedup_keeps_one_row_of_each_class(spark, edge_docs, no_docs):
     assert C.keep_one_of_each(spark, no_docs, SF).count() == 0
 
 
+def test_dedup_keeps_different_texts_of_one_id(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(7, one), (7, two), (7, two), (8, two + " more"), (9, three), (9, one + " more")]
+    out = C.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(tuple(r) for r in out.collect()) == [(7, one), (7, two), (9, three)]
+
+
 @pytest.mark.parametrize("stage", [s for _, s in C.STAGES])
 def test_edge_rows_pass_all_stages(spark, edge_docs, no_docs, stage):
     stage(spark, edge_docs, SF).collect()
