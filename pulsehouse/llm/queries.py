@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsehouse.llm import (chat, licenses, lzprint, mixing, neardup, packing, quality, topk,
-                            toxicity, urlrules)
+from pulsehouse.llm import (alignment, chat, chunktable, licenses, lzprint, mixing, neardup, packing,
+                            periodic, quality, topk, toxicity, urlrules)
 from pulsehouse.llm.common import read_table, prepare
 
 
@@ -91,6 +91,26 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    prepare(spark)
+    return chunktable.digest(chunktable.encode(read_table(spark, sf_dir, "documents")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    prepare(spark)
+    return (alignment.aligned(read_table(spark, sf_dir, "documents"), digests=True)
+            .withColumnRenamed("groups", "groups_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_runs, start, length, period, exponent_milli, runs_sha256, collapsed_sha256."""
+    prepare(spark)
+    docs = periodic.with_planted_periods(read_table(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.find_runs(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -107,6 +127,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_url_rules": op9_url_rules,
     "op10_top_k": op10_top_k,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
