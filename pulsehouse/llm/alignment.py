@@ -24,8 +24,11 @@ empty result. Texts are taken whole.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -41,6 +44,8 @@ from pulsehouse.session import scratch_dir
 
 #: Characters of the documents whose pairs are counted together.
 BLOCK = 4 << 20
+#: What follows an id among a document's groups: an id of its side, side B, the next group.
+SIGNS = ",|;"
 
 
 def default_bytes() -> str:
@@ -62,7 +67,39 @@ class Side:
     def __init__(self, entries: list[bytes]) -> None:
         self.entries = entries
         self.lengths = np.array([len(e) for e in entries], dtype=np.int64)
-        self.decimals = [str(i) for i in range(len(entries))]
+        # the decimal id and a sign, zero bytes behind it: one row for each of SIGNS
+        self.decimals = np.array([[f"{i}{s}" for i in range(len(entries))] for s in SIGNS], dtype="S")
+
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.entries.__getitem__, ids))
+
+
+def by_rank(path: str, letters: dict[str, int]):
+    """The vocabulary as a table of ranks, if that gives the same ids; else None.
+
+    A table of ranks joins two neighbours if their bytes are an entry, a vocabulary file only
+    if it lists this very pair. When every entry, spelt in bytes, is joined to itself by the
+    file's rules, both are the same: neighbours whose bytes are an entry, not joined with
+    others before, have come from the entry's own rules, and its last rule joins them."""
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+    made = json.loads(Path(path).read_text(encoding="utf-8"))
+    model, cut = made["model"], made["pre_tokenizer"] or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges") or ()]
+    entries = [e for e, _ in sorted(model["vocab"].items(), key=lambda x: x[1]) if set(e) <= set(letters)]
+    special = {x["content"] for x in made["added_tokens"]}
+    entries = [e for e in entries if e not in special]
+    if not (model["type"] == "BPE" and made["normalizer"] is None and not model.get("dropout")
+            and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+            and [model["vocab"][e] for e in entries] == list(range(len(entries)))
+            and ["".join(m) for m in merges] == entries[256:]):
+        return None
+    bare = Tokenizer.from_str(json.dumps(made | {"pre_tokenizer": None, "post_processor": None, "added_tokens": []}))
+    if any(len(x.ids) != 1 for x in bare.encode_batch(entries, add_special_tokens=False)):
+        return None
+    ranks = {bytes(letters[c] for c in e): i for i, e in enumerate(entries)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 class ByteSide(Side):
@@ -72,15 +109,17 @@ class ByteSide(Side):
         self.tokenizer.encode_special_tokens = True
         self.fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         letters, vocabulary = byte_letters(), self.tokenizer.get_vocab()
+        self.ranks = by_rank(path, letters)
         entries = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             known = all(c in letters for c in entry)
             entries[i] = bytes(letters[c] for c in entry) if known else entry.encode()
         super().__init__(entries)
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.fast([f" {t}" for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.int64) for e in found]
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        if self.ranks:
+            return [self.ranks.encode_ordinary(f" {t}") for t in texts]
+        return [e.ids for e in self.fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
 class PieceSide(Side):
@@ -90,8 +129,8 @@ class PieceSide(Side):
         super().__init__([bytes([int(p.id_to_piece(i)[3:5], 16)]) if p.is_byte(i)
                           else p.id_to_piece(i).replace(MARK, " ").encode() for i in range(len(p))])
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [x.astype(np.int64) for x in self.table(texts)]
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        return [x.tolist() for x in self.table(texts)]
 
 
 @lru_cache(maxsize=2)
@@ -100,10 +139,10 @@ def sides(bytes_path: str, piece_path: str) -> tuple[ByteSide, PieceSide]:
     return ByteSide(bytes_path), PieceSide(piece_path)
 
 
-def tokens(side: Side, ids: list[np.ndarray], name: str) -> pd.DataFrame:
+def tokens(side: Side, ids: list[list[int]], name: str) -> pd.DataFrame:
     """doc, id, start, end and the token's number: the documents' bytes follow each other,
     so starts ascend over the whole batch."""
-    flat = np.concatenate([*ids, np.zeros(0, dtype=np.int64)])
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64)
     end = np.cumsum(side.lengths[flat])
     return pd.DataFrame({"doc": np.repeat(np.arange(len(ids)), [len(x) for x in ids]),
                          "start": end - side.lengths[flat], f"{name}_end": end, f"{name}_id": flat,
@@ -120,9 +159,14 @@ def covering(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grouped(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The offsets where tokens of both sides end, and the group of each token of A and B."""
-    common = np.intersect1d(a["a_end"], b["b_end"], assume_unique=True)
-    return common, np.searchsorted(common, a["a_end"]), np.searchsorted(common, b["b_end"])
+    """The tokens of A that end where one of B does, and the group of each token of A and B."""
+    _, in_a, in_b = np.intersect1d(a["a_end"], b["b_end"], assume_unique=True, return_indices=True)
+    groups = []
+    for side, at in ((a, in_a), (b, in_b)):
+        after = np.zeros(len(side) + 1, dtype=np.int64)
+        after[at + 1] = 1
+        groups.append(np.cumsum(after)[:-1])
+    return in_a, *groups
 
 
 def align(texts: list[str], one: Side, two: Side, texts_of_groups: bool = True) -> dict[str, list]:
@@ -131,13 +175,12 @@ def align(texts: list[str], one: Side, two: Side, texts_of_groups: bool = True)
     full = [i for i, t in enumerate(texts) if t]
     some = [texts[i] for i in full]
     ids_a, ids_b = (one(some), two(some)) if some else ([], [])
-    right = [b"".join([one.entries[i] for i in x.tolist()]) == b"".join([two.entries[i] for i in y.tolist()])
-             == b" " + t.encode() for x, y, t in zip(ids_a, ids_b, some)]
+    right = [one.joined(x) == two.joined(y) == b" " + t.encode() for x, y, t in zip(ids_a, ids_b, some)]
     full, ids_a, ids_b = ([x for x, ok in zip(xs, right) if ok] for xs in (full, ids_a, ids_b))
     a, b = tokens(one, ids_a, "a"), tokens(two, ids_b, "b")
     doc_a, doc_b, n = a["doc"].to_numpy(), b["doc"].to_numpy(), len(full)
     la, lb = covering(a, b)
-    common, group_a, group_b = grouped(a, b)
+    ending, group_a, group_b = grouped(a, b)
     id_a, id_b = a["a_id"].to_numpy(), b["b_id"].to_numpy()
     code = id_a[la] * len(two.entries) + id_b[lb]
     doc = doc_a[la]
@@ -148,8 +191,7 @@ def align(texts: list[str], one: Side, two: Side, texts_of_groups: bool = True)
     at = np.flatnonzero(new)
     times = np.diff(np.append(at, len(code)))
     edges = np.searchsorted(doc[at], np.arange(n + 1))
-    ends = doc_a[np.searchsorted(a["a_end"], common)]
-    counts = [np.bincount(x, minlength=n) for x in (doc_a, doc_b, ends, doc)]
+    counts = [np.bincount(x, minlength=n) for x in (doc_a, doc_b, doc_a[ending], doc)]
     out: dict[str, list] = {c: [0] * len(texts) for c in ("n_a", "n_b", "n_groups", "n_links")}
     out |= {"groups": [""] * len(texts), "pairs": [[]] * len(texts), "ns": [[]] * len(texts)}
     if texts_of_groups:
@@ -167,13 +209,12 @@ def _groups_shown(one: Side, two: Side, id_a: np.ndarray, id_b: np.ndarray, grou
                   group_b: np.ndarray, counts: np.ndarray) -> list[str]:
     """Each document's groups as text. A token's sign is what follows it there."""
     last = lambda g: np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, dtype=bool)
-    sign_a, sign_b = (np.where(last(g), s, ",") for g, s in ((group_a, "|"), (group_b, ";")))
-    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable").tolist()
-    words = [one.decimals[i] + s for i, s in zip(id_a.tolist(), sign_a.tolist())]
-    words += [two.decimals[i] + s for i, s in zip(id_b.tolist(), sign_b.tolist())]
-    words = [words[i] for i in order]
+    kind = np.result_type(one.decimals, two.decimals)
+    words = np.concatenate([one.decimals[np.where(last(group_a), 1, 0), id_a].astype(kind),
+                            two.decimals[np.where(last(group_b), 2, 0), id_b].astype(kind)])
+    words = words[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
     stops = np.cumsum(counts).tolist()
-    return ["".join(words[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+    return [words[i:j].tobytes().replace(b"\0", b"")[:-1].decode() for i, j in zip([0, *stops], stops)]
 
 
 #: The columns of a document's own row; ``whole`` rows hold the pairs of a block instead.

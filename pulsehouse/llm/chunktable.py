@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +72,7 @@ class ChunkTable:
     def _learn(self, chunks: list[str]) -> None:
         """Rows for the chunks that the table lacks, segmented in one call. The library puts
         a marker before each text, which stands for the first one of the chunk."""
-        new = list(dict.fromkeys(c for c in chunks if c not in self.number))
+        new = list(set(chunks).difference(self.number))
         if not new:
             return
         found = self.processor.encode([c[1:] for c in new], num_threads=1)
@@ -81,7 +82,7 @@ class ChunkTable:
         first = len(self.number)
         self.number.update(zip(new, range(first, first + len(new))))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in found])])
-        self.ids = np.concatenate([self.ids, *[np.array(x, dtype=np.int32) for x in found]])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), dtype=np.int32)])
         self.chars += sum(map(len, new))
 
     def _marked(self, text: str) -> str | None:

@@ -111,3 +111,13 @@ def test_whole_table(spark, plain):
     got = op12_token_alignment(spark, SMALL)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert found(got) == plain(spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect())
+
+
+def test_ranks_give_the_files_ids(spark):
+    side = alignment.ByteSide(alignment.default_bytes())
+    assert side.ranks
+    texts = [r[0] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    texts += ["\n\n \t x  y'll we've 漢字🙂 <|endoftext|> 1234 ...!!", " ", "  a"]
+    fast = side(texts)
+    side.ranks = None
+    assert fast == side(texts)
