@@ -15,11 +15,18 @@ connected components of the links.
 3. Links become components by passing on the smallest label, with pointer jumping. A bucket
    whose nodes are all in one component needs no further look. In the others, rounds pair
    every node outside the bucket's main component with one more member of that component,
-   another one in each round, as long as that settles a good part of these nodes.
-4. What is left is compared in full: each node outside its bucket's main component with
-   all nodes of the bucket, in cells of at most about ``BLOCK`` by ``WIDE`` nodes, by
-   signature and then by the bags themselves. So no link between different texts is lost,
-   however large a bucket is, and a large group of copies costs a few pairs a member.
+   another one in each round, as long as that settles a good part of these nodes. Nodes that
+   are left in buckets of at most ``SMALL`` nodes are compared with the whole bucket.
+4. A larger bucket that still holds several components is split: its nodes meet again under
+   the bucket and one later band, then under two later bands, and so on for ``DEPTH`` bands,
+   with rounds and full comparison of small parts at each depth. A node has one row for each
+   set of bands that it shares with a large part, so the work grows with the nodes and not
+   with the pairs of a bucket. Two nodes that a part keeps apart share too few bands to meet
+   in it: of the pairs with index 0.8, whose bands agree 9.8 times of 30, one in 10,000 shares
+   fewer than two bands, one in 1,200 fewer than three and one in 260 fewer than four.
+5. What is still large and mixed after ``DEPTH`` bands, where nodes agree on 20 components of
+   the signature without being linked, is compared in full, in cells of at most about
+   ``BLOCK`` by ``WIDE`` nodes, by signature and then by the bags themselves.
 
 Defined results: a null text is empty. A text of fewer than ``WORDS`` words has one
 shingle of all its words; a text without words has one "word", the text without blanks at
@@ -50,9 +57,11 @@ BANDS, ROWS = 30, 5
 #: Share of equal components below which two signatures cannot belong to a link: at an
 #: index of 0.8 a share of 150 components lies below it once in a billion cases.
 PLAUSIBLE = 0.6
-BLOCK, WIDE = 64, 512
+BLOCK, WIDE = 16, 128
 #: Buckets of so many nodes at most are compared by a plain join.
 SMALL = 32
+#: Bands that the parts of a large bucket agree on, at most.
+DEPTH = 4
 #: Rounds go on while they settle at least this share of the nodes outside main components.
 PROGRESS = 0.1
 #: Characters and rows that a task holds as numbers at once.
@@ -189,15 +198,22 @@ def share_equal(a: str, b: str) -> Column:
 
 
 def in_bands(nodes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """band (a hash of its number and rows), node."""
-    return (nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("k"))
-            .select(F.xxhash64("k", F.slice("signature", F.col("k") * rows + 1, rows)).alias("band"), "node"))
+    """band (a hash of its number and rows), node, last (the band's number)."""
+    return (nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("last"))
+            .select(F.xxhash64("last", F.slice("signature", F.col("last") * rows + 1, rows)).alias("band"),
+                    "node", "last"))
+
+
+def sketch() -> Column:
+    """The low byte of each component. Equal components have equal bytes, so a share of equal
+    bytes is never below that of the components."""
+    return F.transform("signature", lambda x: (x.bitwiseAND(255) - 128).cast("byte"))
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures leave a link possible."""
-    one = nodes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-    two = nodes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
+    """The pairs (a, b) whose sketches leave a link possible."""
+    one = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    two = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     return (pairs.join(one, "a").join(two, "b").where(share_equal("sa", "sb") >= PLAUSIBLE)
             .select("a", "b"))
 
@@ -208,12 +224,15 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             keep = []
-            for s in range(0, len(b), 64):
-                part = b.iloc[s:s + 64]
-                value, count, row = bags([*part["ta"], *part["tb"]])
-                e = np.searchsorted(row, np.arange(2 * len(part) + 1))
-                bag = [(value[i:j], count[i:j]) for i, j in zip(e, e[1:])]
-                keep += [likeness(bag[i], bag[i + len(part)]) >= LIKE for i in range(len(part))]
+            # as many pairs at once as hold about CHARS characters
+            held = ((b["ta"].str.len() + b["tb"].str.len()).cumsum() // CHARS).to_numpy()
+            for _, part in b.groupby(held, sort=False):
+                for s in range(0, len(part), 64):
+                    some = part.iloc[s:s + 64]
+                    value, count, row = bags([*some["ta"], *some["tb"]])
+                    e = np.searchsorted(row, np.arange(2 * len(some) + 1))
+                    bag = [(value[i:j], count[i:j]) for i, j in zip(e, e[1:])]
+                    keep += [likeness(bag[i], bag[i + len(some)]) >= LIKE for i in range(len(some))]
             yield b.loc[np.array(keep, dtype=bool), ["a", "b"]]
         give_back()
 
@@ -256,9 +275,10 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, node, label, main, size, outside: the nodes of buckets with several components.
+    """band, node, last, label, main, size, outside: the nodes of buckets with several components.
     main: the label that most nodes of the bucket have; outside: how many have another."""
-    named = bands.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    named = (bands.join(labels, "node", "left")
+             .select("band", "node", "last", F.coalesce("label", "node").alias("label")))
     each = named.groupBy("band", "label").agg(F.count("*").alias("n"))
     mixed = (each.groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"),
                                       F.count("*").alias("labels"))
@@ -286,6 +306,22 @@ def pairs_of_small(members: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
+def own_bands(members: DataFrame) -> DataFrame:
+    """node, bands (last, band): the large buckets that a node is in."""
+    return (members.where(F.col("size") > SMALL).groupBy("node")
+            .agg(F.collect_set(F.struct("last", "band")).alias("bands")))
+
+
+def split_large(members: DataFrame, own: DataFrame) -> DataFrame:
+    """band, node, last: the parts of buckets of more than SMALL nodes. A part agrees on the
+    bucket's bands and on a later one; it holds two nodes at least."""
+    later = F.filter("bands", lambda b: b.last > F.col("last"))
+    parts = (members.where(F.col("size") > SMALL).select("band", "node", "last").join(own, "node")
+             .select("node", "band", F.explode(later).alias("b"))
+             .select(F.xxhash64("band", "b.band").alias("band"), "node", F.col("b.last").alias("last")))
+    return stored(parts, "neardup-parts")
+
+
 def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) across components in buckets of more than SMALL nodes."""
     many = members.where(F.col("size") > SMALL)
@@ -297,13 +333,13 @@ def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> Da
     every = many.select("band", all_of(tall).alias("i"), row(wide).alias("j"),
                         "node", "label", F.lit(False).alias("left"), (F.col("label") != F.col("main")).alias("out"))
     known = stored(texts.join(many.select("node").distinct(), "node")
-                   .join(nodes.select("node", "signature"), "node"), "neardup-large")
+                   .join(nodes.select("node", "sketch"), "node"), "neardup-large")
     cells = outside.unionByName(every).join(known, "node")
 
     def cell(rows: pd.DataFrame) -> pd.DataFrame:
         value, count, row = bags(rows["text"].tolist())
         e = np.searchsorted(row, np.arange(len(rows) + 1))
-        sig, node = np.stack(rows["signature"].to_numpy()), rows["node"].to_numpy()
+        sig, node = np.stack(rows["sketch"].to_numpy()), rows["node"].to_numpy()
         label, left, out = (rows[c].to_numpy() for c in ("label", "left", "out"))
         right, found = np.flatnonzero(~left), []
         for i in np.flatnonzero(left):
@@ -324,10 +360,11 @@ def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # stored, so that a node keeps its number
     nodes = stored(docs.groupBy("key1", "key2")
                    .agg(F.min(F.struct("id", "digest")).alias("first"), F.any_value("signature").alias("signature"))
-                   .withColumn("node", F.monotonically_increasing_id()), "neardup-nodes")
+                   .withColumn("sketch", sketch()).withColumn("node", F.monotonically_increasing_id()),
+                   "neardup-nodes")
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
+    bands = stored(bands.join(shared, "band").select("band", "node", "last", "a"), "neardup-bands")
     # the texts of nodes that share a bucket, from one pass over the documents
     named = bands.select("node").distinct().join(nodes.select("node", "first.id", "first.digest"), "node")
     texts = stored(documents.select(row_id().alias("id"), text_digest().alias("digest"), shown("text").alias("text"))
@@ -340,23 +377,33 @@ def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         return some, stored(verified(some, texts), "neardup-links")
 
     tested, links = settle(bands.where("a != node").select("a", F.col("node").alias("b")).distinct())
-    labels = components(links)
-    members, turn = unsettled(bands, labels), 0
-    outside = members.where("label != main").select("node").distinct().count()
-    while outside:
-        some, links = settle(another_member(members, turn).join(tested, ["a", "b"], "left_anti"))
-        tested, turn = tested.unionAll(some), turn + 1
-        if not links.isEmpty():
-            labels = relabelled(labels, links)
-            members = unsettled(bands, labels)
-        before, outside = outside, members.where("label != main").select("node").distinct().count()
-        if before - outside < PROGRESS * before:
+    labels, own = components(links), None
+    for depth in range(1, DEPTH + 1):
+        members = unsettled(bands, labels)
+        outside = members.where("label != main").select("node").distinct().count()
+        turn = 0
+        while outside:
+            some, links = settle(another_member(members, turn).join(tested, ["a", "b"], "left_anti"))
+            tested, turn = tested.unionAll(some), turn + 1
+            if not links.isEmpty():
+                labels = relabelled(labels, links)
+                members = unsettled(bands, labels)
+            before, outside = outside, members.where("label != main").select("node").distinct().count()
+            if before - outside < PROGRESS * before:
+                break
+        if not outside:
             break
-    if outside:
         some, links = settle(pairs_of_small(members).join(tested, ["a", "b"], "left_anti"))
-        links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
+        tested = tested.unionAll(some)
+        if depth == DEPTH:
+            links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
+        else:
+            own = stored(own_bands(members), "neardup-own") if own is None else own
+            bands = split_large(members, own)
         if not links.isEmpty():
             labels = relabelled(labels, links)
+        if depth < DEPTH and bands.isEmpty():
+            break
     linked = labels.join(nodes.select("node", "first"), "node")
     least = linked.groupBy("label").agg(F.min("first").alias("least"))
     linked = linked.join(least, "label").select("node", "least")
