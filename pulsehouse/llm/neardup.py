@@ -14,19 +14,17 @@ connected components of the links.
    rest. Two nodes with an index of 0.8 share a band but for one case in 100,000.
 3. Links become components by passing on the smallest label, with pointer jumping. A bucket
    whose nodes are all in one component needs no further look. In the others, rounds pair
-   every node outside the bucket's main component with one more member of that component,
-   another one in each round, as long as that settles a good part of these nodes. Nodes that
-   are left in buckets of at most ``SMALL`` nodes are compared with the whole bucket.
-4. A larger bucket that still holds several components is split: its nodes meet again under
-   the bucket and one later band, then under two later bands, and so on for ``DEPTH`` bands,
-   with rounds and full comparison of small parts at each depth. A node has one row for each
-   set of bands that it shares with a large part, so the work grows with the nodes and not
-   with the pairs of a bucket. Two nodes that a part keeps apart share too few bands to meet
-   in it: of the pairs with index 0.8, whose bands agree 9.8 times of 30, one in 10,000 shares
-   fewer than two bands, one in 1,200 fewer than three and one in 260 fewer than four.
-5. What is still large and mixed after ``DEPTH`` bands, where nodes agree on 20 components of
-   the signature without being linked, is compared in full, in cells of at most about
-   ``BLOCK`` by ``WIDE`` nodes, by signature and then by the bags themselves.
+   every node outside the bucket's main component with one more member of that component, a
+   central one that shares many buckets, and another one in each round, as long as that
+   settles a good part of these nodes. Nodes that are left in buckets of at most ``SMALL``
+   nodes are compared with the whole bucket.
+4. What is left of larger buckets is compared in full, each node outside its bucket's main
+   component with all nodes of the bucket: in cells of two blocks of about ``CELL``
+   characters each, so a text is sent once for every CELL characters of texts that it is
+   compared with. Two nodes that share several large buckets are compared in the first one
+   only. A cell looks at sketches of the signatures first, then at the bags, the most alike
+   first, and stops for a node once it is linked with the main component. So no link between
+   components is lost, however large a bucket is.
 
 Defined results: a null text is empty. A text of fewer than ``WORDS`` words has one
 shingle of all its words; a text without words has one "word", the text without blanks at
@@ -57,11 +55,10 @@ BANDS, ROWS = 30, 5
 #: Share of equal components below which two signatures cannot belong to a link: at an
 #: index of 0.8 a share of 150 components lies below it once in a billion cases.
 PLAUSIBLE = 0.6
-BLOCK, WIDE = 16, 128
+#: Characters of a block of nodes that are compared in full with another block.
+CELL = 1 << 21
 #: Buckets of so many nodes at most are compared by a plain join.
 SMALL = 32
-#: Bands that the parts of a large bucket agree on, at most.
-DEPTH = 4
 #: Rounds go on while they settle at least this share of the nodes outside main components.
 PROGRESS = 0.1
 #: Characters and rows that a task holds as numbers at once.
@@ -198,10 +195,9 @@ def share_equal(a: str, b: str) -> Column:
 
 
 def in_bands(nodes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """band (a hash of its number and rows), node, last (the band's number)."""
-    return (nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("last"))
-            .select(F.xxhash64("last", F.slice("signature", F.col("last") * rows + 1, rows)).alias("band"),
-                    "node", "last"))
+    """band (a hash of its number and rows), node."""
+    return (nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("k"))
+            .select(F.xxhash64("k", F.slice("signature", F.col("k") * rows + 1, rows)).alias("band"), "node"))
 
 
 def sketch() -> Column:
@@ -275,10 +271,9 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, node, last, label, main, size, outside: the nodes of buckets with several components.
+    """band, node, label, main, size, outside: the nodes of buckets with several components.
     main: the label that most nodes of the bucket have; outside: how many have another."""
-    named = (bands.join(labels, "node", "left")
-             .select("band", "node", "last", F.coalesce("label", "node").alias("label")))
+    named = bands.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     each = named.groupBy("band", "label").agg(F.count("*").alias("n"))
     mixed = (each.groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"),
                                       F.count("*").alias("labels"))
@@ -290,9 +285,11 @@ def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def another_member(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each node outside with one member of its bucket's main component."""
-    hubs = (members.where("label = main").groupBy("band")
-            .agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub")))
+    """Pairs (a, b) of each node outside with one member of its bucket's main component: one
+    of those in the most buckets, as a node near the middle of a group is."""
+    central = members.where("label = main").groupBy("node").agg(F.count("*").alias("buckets"))
+    hubs = (members.where("label = main").join(central, "node").groupBy("band")
+            .agg(F.max_by("node", F.struct("buckets", F.xxhash64("node", F.lit(turn)))).alias("hub")))
     return (members.where("label != main").join(hubs, "band")
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
 
@@ -306,51 +303,58 @@ def pairs_of_small(members: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def own_bands(members: DataFrame) -> DataFrame:
-    """node, bands (last, band): the large buckets that a node is in."""
-    return (members.where(F.col("size") > SMALL).groupBy("node")
-            .agg(F.collect_set(F.struct("last", "band")).alias("bands")))
-
-
-def split_large(members: DataFrame, own: DataFrame) -> DataFrame:
-    """band, node, last: the parts of buckets of more than SMALL nodes. A part agrees on the
-    bucket's bands and on a later one; it holds two nodes at least."""
-    later = F.filter("bands", lambda b: b.last > F.col("last"))
-    parts = (members.where(F.col("size") > SMALL).select("band", "node", "last").join(own, "node")
-             .select("node", "band", F.explode(later).alias("b"))
-             .select(F.xxhash64("band", "b.band").alias("band"), "node", F.col("b.last").alias("last")))
-    return stored(parts, "neardup-parts")
-
-
 def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) across components in buckets of more than SMALL nodes."""
-    many = members.where(F.col("size") > SMALL)
-    tall, wide = (F.ceil(F.col(c) / n).cast("int") for c, n in (("outside", BLOCK), ("size", WIDE)))
+    own = members.where(F.col("size") > SMALL).groupBy("node").agg(F.collect_set("band").alias("bands"))
+    known = stored(texts.join(own, "node").join(nodes.select("node", "sketch"), "node"), "neardup-large")
+    many = members.where(F.col("size") > SMALL).join(
+        known.select("node", (F.length("text") + 1000).alias("chars")), "node")
+    blocks = many.groupBy("band").agg(
+        F.ceil(F.sum("chars") / CELL).cast("int").alias("wide"),
+        F.ceil(F.sum(F.when(F.col("label") != F.col("main"), F.col("chars"))) / CELL).cast("int").alias("tall"))
+    many = many.join(blocks, "band")
     row = lambda n: F.pmod(F.xxhash64("node", n), n).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    outside = many.where("label != main").select("band", row(tall).alias("i"), all_of(wide).alias("j"),
-                                                 "node", "label", F.lit(True).alias("left"), F.lit(True).alias("out"))
-    every = many.select("band", all_of(tall).alias("i"), row(wide).alias("j"),
-                        "node", "label", F.lit(False).alias("left"), (F.col("label") != F.col("main")).alias("out"))
-    known = stored(texts.join(many.select("node").distinct(), "node")
-                   .join(nodes.select("node", "sketch"), "node"), "neardup-large")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outside = many.where("label != main").select("band", row("tall").alias("i"), all_of("wide").alias("j"),
+                                                 "node", "label", "main", F.lit(True).alias("left"))
+    every = many.select("band", all_of("tall").alias("i"), row("wide").alias("j"),
+                        "node", "label", "main", F.lit(False).alias("left"))
     cells = outside.unionByName(every).join(known, "node")
-
-    def cell(rows: pd.DataFrame) -> pd.DataFrame:
-        value, count, row = bags(rows["text"].tolist())
-        e = np.searchsorted(row, np.arange(len(rows) + 1))
-        sig, node = np.stack(rows["sketch"].to_numpy()), rows["node"].to_numpy()
-        label, left, out = (rows[c].to_numpy() for c in ("label", "left", "out"))
-        right, found = np.flatnonzero(~left), []
-        for i in np.flatnonzero(left):
-            j = right[(label[right] != label[i]) & (~out[right] | (node[right] > node[i]))]
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= PLAUSIBLE]
-            mine = value[e[i]:e[i + 1]], count[e[i]:e[i + 1]]
-            found += [(min(node[i], node[k]), max(node[i], node[k])) for k in j
-                      if likeness(mine, (value[e[k]:e[k + 1]], count[e[k]:e[k + 1]])) >= LIKE]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return cells.groupBy("band", "i", "j").applyInPandas(cell, "a long, b long").distinct()
+    return cells.groupBy("band", "i", "j").applyInPandas(_links_of_cell, "a long, b long").distinct()
+
+
+def _links_of_cell(rows: pd.DataFrame) -> pd.DataFrame:
+    """The links of a cell's left nodes with its other nodes."""
+    # a node on both sides has one text and one bag
+    rows = rows.sort_values(["node", "left"])
+    single = rows.drop_duplicates("node")
+    place = np.searchsorted(single["node"].to_numpy(), rows["node"].to_numpy())
+    value, count, row = bags(single["text"].tolist())
+    e = np.searchsorted(row, np.arange(len(single) + 1))
+    sketches = np.stack(single["sketch"].to_numpy())[place]
+    label, left, node = (rows[c].to_numpy() for c in ("label", "left", "node"))
+    band, main = rows["band"].iloc[0], rows["main"].iloc[0]
+    # only earlier buckets matter: two nodes are compared in the first that they share
+    earlier = [{b for b in x if b < band} for x in single["bands"]]
+    right, found = np.flatnonzero(~left), []
+
+    def alike(i: int, k: int) -> bool:
+        i, k = place[i], place[k]
+        return likeness((value[e[i]:e[i + 1]], count[e[i]:e[i + 1]]),
+                        (value[e[k]:e[k + 1]], count[e[k]:e[k + 1]])) >= LIKE
+
+    for i in np.flatnonzero(left):
+        own = earlier[place[i]]
+        # nodes outside are on both sides of the bucket: the smaller one looks at the larger
+        j = right[(label[right] != label[i]) & ((label[right] == main) | (node[right] > node[i]))]
+        share = (sketches[j] == sketches[i]).mean(axis=1)
+        j, share = j[share >= PLAUSIBLE], share[share >= PLAUSIBLE]
+        done = set()            # components that the node is linked with
+        for k in j[np.argsort(-share, kind="stable")]:
+            if label[k] not in done and own.isdisjoint(earlier[place[k]]) and alike(i, k):
+                done.add(label[k])
+                found.append((min(node[i], node[k]), max(node[i], node[k])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -364,7 +368,7 @@ def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                    "neardup-nodes")
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    bands = stored(bands.join(shared, "band").select("band", "node", "last", "a"), "neardup-bands")
+    bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
     # the texts of nodes that share a bucket, from one pass over the documents
     named = bands.select("node").distinct().join(nodes.select("node", "first.id", "first.digest"), "node")
     texts = stored(documents.select(row_id().alias("id"), text_digest().alias("digest"), shown("text").alias("text"))
@@ -377,33 +381,23 @@ def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         return some, stored(verified(some, texts), "neardup-links")
 
     tested, links = settle(bands.where("a != node").select("a", F.col("node").alias("b")).distinct())
-    labels, own = components(links), None
-    for depth in range(1, DEPTH + 1):
-        members = unsettled(bands, labels)
-        outside = members.where("label != main").select("node").distinct().count()
-        turn = 0
-        while outside:
-            some, links = settle(another_member(members, turn).join(tested, ["a", "b"], "left_anti"))
-            tested, turn = tested.unionAll(some), turn + 1
-            if not links.isEmpty():
-                labels = relabelled(labels, links)
-                members = unsettled(bands, labels)
-            before, outside = outside, members.where("label != main").select("node").distinct().count()
-            if before - outside < PROGRESS * before:
-                break
-        if not outside:
+    labels = components(links)
+    members, turn = unsettled(bands, labels), 0
+    outside = members.where("label != main").select("node").distinct().count()
+    while outside:
+        some, links = settle(another_member(members, turn).join(tested, ["a", "b"], "left_anti"))
+        tested, turn = tested.unionAll(some), turn + 1
+        if not links.isEmpty():
+            labels = relabelled(labels, links)
+            members = unsettled(bands, labels)
+        before, outside = outside, members.where("label != main").select("node").distinct().count()
+        if before - outside < PROGRESS * before:
             break
+    if outside:
         some, links = settle(pairs_of_small(members).join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionAll(some)
-        if depth == DEPTH:
-            links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
-        else:
-            own = stored(own_bands(members), "neardup-own") if own is None else own
-            bands = split_large(members, own)
+        links = stored(links.unionAll(links_of_large(members, nodes, texts)), "neardup-rest")
         if not links.isEmpty():
             labels = relabelled(labels, links)
-        if depth < DEPTH and bands.isEmpty():
-            break
     linked = labels.join(nodes.select("node", "first"), "node")
     least = linked.groupBy("label").agg(F.min("first").alias("least"))
     linked = linked.join(least, "label").select("node", "least")
