@@ -167,7 +167,7 @@ def text_digest() -> Column:
 
 
 def signed(documents: DataFrame, m: int = BANDS * ROWS) -> DataFrame:
-    """doc_id, id (never null), digest (of the text), key1, key2, signature."""
+    """doc_id, id (never null), digest (of the text), key1, key2, chars, signature."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b, texts in text_slices(whole):
@@ -180,13 +180,15 @@ def signed(documents: DataFrame, m: int = BANDS * ROWS) -> DataFrame:
                 yield pa.record_batch({
                     "doc_id": b.column("doc_id"), "id": b.column("id"), "digest": b.column("digest"),
                     "key1": pa.array(keys[0]), "key2": pa.array(keys[1]),
+                    # with what a node takes besides its text
+                    "chars": pa.array([len(t) + 1000 for t in texts], pa.int64()),
                     "signature": pa.ListArray.from_arrays(
                         pa.array(np.arange(len(texts) + 1) * m, pa.int32()), flat)})
         give_back()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("id"),
                             text_digest().alias("digest"), shown("text").alias("text"))
-    return rows.mapInArrow(task, "doc_id long, id long, digest binary, key1 long, key2 long, signature array<int>")
+    return rows.mapInArrow(task, "doc_id long, id long, digest binary, key1 long, key2 long, chars long, signature array<int>")
 
 
 def share_equal(a: str, b: str) -> Column:
@@ -195,9 +197,9 @@ def share_equal(a: str, b: str) -> Column:
 
 
 def in_bands(nodes: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """band (a hash of its number and rows), node."""
-    return (nodes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("k"))
-            .select(F.xxhash64("k", F.slice("signature", F.col("k") * rows + 1, rows)).alias("band"), "node"))
+    """band (a hash of its number and rows), node, chars."""
+    return (nodes.select("node", "chars", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("k"))
+            .select(F.xxhash64("k", F.slice("signature", F.col("k") * rows + 1, rows)).alias("band"), "node", "chars"))
 
 
 def sketch() -> Column:
@@ -271,9 +273,11 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
-    """band, node, label, main, size, outside: the nodes of buckets with several components.
-    main: the label that most nodes of the bucket have; outside: how many have another."""
-    named = bands.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    """band, node, middle, chars, label, main, size, outside: the nodes of buckets with several
+    components. main: the label that most nodes of the bucket have; outside: how many have
+    another."""
+    named = (bands.join(labels, "node", "left")
+             .select("band", "node", "middle", "chars", F.coalesce("label", "node").alias("label")))
     each = named.groupBy("band", "label").agg(F.count("*").alias("n"))
     mixed = (each.groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("m"),
                                       F.count("*").alias("labels"))
@@ -286,10 +290,9 @@ def unsettled(bands: DataFrame, labels: DataFrame) -> DataFrame:
 
 def another_member(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each node outside with one member of its bucket's main component: one
-    of those in the most buckets, as a node near the middle of a group is."""
-    central = members.where("label = main").groupBy("node").agg(F.count("*").alias("buckets"))
-    hubs = (members.where("label = main").join(central, "node").groupBy("band")
-            .agg(F.max_by("node", F.struct("buckets", F.xxhash64("node", F.lit(turn)))).alias("hub")))
+    of those in the largest buckets, as a node near the middle of a group is."""
+    order = F.struct(F.round(2 * F.log2("middle")), F.xxhash64("node", F.lit(turn)))
+    hubs = members.where("label = main").groupBy("band").agg(F.max_by("node", order).alias("hub"))
     return (members.where("label != main").join(hubs, "band")
             .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
 
@@ -307,8 +310,7 @@ def links_of_large(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> Da
     """Links (a, b) across components in buckets of more than SMALL nodes."""
     own = members.where(F.col("size") > SMALL).groupBy("node").agg(F.collect_set("band").alias("bands"))
     known = stored(texts.join(own, "node").join(nodes.select("node", "sketch"), "node"), "neardup-large")
-    many = members.where(F.col("size") > SMALL).join(
-        known.select("node", (F.length("text") + 1000).alias("chars")), "node")
+    many = members.where(F.col("size") > SMALL)
     blocks = many.groupBy("band").agg(
         F.ceil(F.sum("chars") / CELL).cast("int").alias("wide"),
         F.ceil(F.sum(F.when(F.col("label") != F.col("main"), F.col("chars"))) / CELL).cast("int").alias("tall"))
@@ -363,12 +365,18 @@ def settled(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     docs = stored(signed(documents), "neardup-signatures")
     # stored, so that a node keeps its number
     nodes = stored(docs.groupBy("key1", "key2")
-                   .agg(F.min(F.struct("id", "digest")).alias("first"), F.any_value("signature").alias("signature"))
+                   .agg(F.min(F.struct("id", "digest")).alias("first"), F.any_value("signature").alias("signature"),
+                        F.max("chars").alias("chars"))
                    .withColumn("sketch", sketch()).withColumn("node", F.monotonically_increasing_id()),
                    "neardup-nodes")
     bands = in_bands(nodes)
     shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    bands = stored(bands.join(shared, "band").select("band", "node", "a"), "neardup-bands")
+    # middle: how many nodes the buckets of a node hold together
+    bands = stored(bands.join(shared, "band").groupBy("node")
+                   .agg(F.sum("n").alias("middle"), F.first("chars").alias("chars"),
+                        F.collect_list(F.struct("band", "a")).alias("of"))
+                   .select("node", "middle", "chars", F.explode("of").alias("b"))
+                   .select("b.band", "node", "b.a", "middle", "chars"), "neardup-bands")
     # the texts of nodes that share a bucket, from one pass over the documents
     named = bands.select("node").distinct().join(nodes.select("node", "first.id", "first.digest"), "node")
     texts = stored(documents.select(row_id().alias("id"), text_digest().alias("digest"), shown("text").alias("text"))

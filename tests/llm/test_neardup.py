@@ -122,7 +122,8 @@ def test_cells_of_a_large_bucket_miss_no_link(spark, monkeypatch):
     nodes = (spark.createDataFrame([(i, sig[i % 2]) for i in range(30)], "node long, signature array<int>")
              .withColumn("sketch", neardup.sketch()))
     texts = spark.createDataFrame([(i, same[i % 2]) for i in range(30)], "node long, text string")
-    bands = spark.createDataFrame([(7, i) for i in range(30)] + [(8, i) for i in range(30)], "band long, node long")
+    bands = spark.createDataFrame([(b, i, 60, 1100) for i in range(30) for b in (7, 8)],
+                                  "band long, node long, middle long, chars long")
     labels = spark.createDataFrame([(i, 0) for i in (0, 2, 4)], "node long, label long")
     members = neardup.unsettled(bands, labels)
     assert {r.main for r in members.collect()} == {0} and members.first().outside == 27
