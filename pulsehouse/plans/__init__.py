@@ -33,6 +33,7 @@ QUERIES = {
     "user_profile_layer": layered.user_profile_layer_q,
     "user_bins_layer": layered.user_bins_layer_q,
     "layer_checks": layered.layer_checks_q,
+    "layer_changes": layered.layer_changes_q,
 }
 
 __all__ = ["QUERIES", "ORACLE"]

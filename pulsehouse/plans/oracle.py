@@ -265,3 +265,30 @@ ORACLE.update({
   UNION ALL SELECT 'heart_rate_le_messages', 0, 0, true
   UNION ALL SELECT 'sessions_twice_le_workouts', 0, 0, true""",
 })
+
+ORACLE["layer_changes"] = """
+  WITH sess AS (
+    SELECT CAST(o.o_custkey AS INTEGER) AS user_id,
+           CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS workout_id,
+           CAST(o.o_orderkey AS INTEGER) AS session_id,
+           w.s - CASE WHEN o.o_orderkey % 5 = 0 THEN INTERVAL 10 DAY ELSE INTERVAL 0 DAY END AS start_time,
+           CASE WHEN o.o_orderkey % 2 = 0 THEN w.e
+                ELSE w.s + to_seconds((epoch_us(w.e) // 1000000 - epoch_us(w.s) // 1000000) // 2) END AS end_time
+    FROM (SELECT l_orderkey, min(l_shipdate) AS s, max(l_shipdate) AS e FROM lineitem GROUP BY l_orderkey) w
+    JOIN orders o ON o.o_orderkey = w.l_orderkey),
+  r AS (
+    SELECT * FROM (
+      SELECT o.o_custkey * 2 + (l.l_linenumber // 2) % 2 AS device_id,
+             l.l_shipdate + to_minutes(l.l_linenumber) AS time, l.l_quantity * 4 - 20 AS heartrate,
+             row_number() OVER (PARTITION BY o.o_custkey * 2 + (l.l_linenumber // 2) % 2,
+                                             l.l_shipdate + to_minutes(l.l_linenumber)
+                                ORDER BY l.l_linenumber % 2, l.l_orderkey * 8 + l.l_linenumber) AS rn
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) x WHERE rn = 1),
+  bpm AS (
+    SELECT s.*, r.time, r.heartrate
+    FROM r JOIN customer c ON r.device_id = c.c_custkey * 2 + CASE WHEN c.c_custkey % 3 = 0 THEN 1 ELSE 0 END
+    JOIN sess s ON s.user_id = c.c_custkey AND r.time BETWEEN s.start_time AND s.end_time
+    WHERE r.heartrate > 0)
+  SELECT *, min(heartrate) OVER w AS min_bpm, round(avg(heartrate) OVER w, 6) AS avg_bpm,
+         max(heartrate) OVER w AS max_bpm, count(heartrate) OVER w AS num_recordings
+  FROM bpm WINDOW w AS (PARTITION BY user_id, workout_id, session_id)"""

@@ -18,7 +18,7 @@ from pulsehouse.functions.envelope import decode_envelope, flatten, to_envelope
 from pulsehouse.functions.time import epoch_double, epoch_seconds
 from pulsehouse.operators.joins import pair_actions
 from pulsehouse.operators.maintenance import compact
-from pulsehouse.operators.merge import AppendTable, LogTable
+from pulsehouse.operators.merge import AppendTable, KeyedTable
 from pulsehouse.plans.batch import EVENT_DDL, PAYLOAD_DDL, READING, START, STOP
 from pulsehouse.schemas import JSON_OPTIONS, REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
@@ -87,7 +87,7 @@ def first_seen_earliest_wins_q(spark: SparkSession, d: str) -> DataFrame:
         "user_id", (F.col("event_id") % 10).alias("device_id"),
         F.lpad(F.hex(F.col("event_id") % 10), 12, "0").alias("mac_address"),
         F.when(F.col("event_id") % 10 != 3, F.col("ts")).alias("timestamp"))
-    target = LogTable(spark, f"{root}/users", USERS_DDL, keys=["user_id"],
+    target = KeyedTable(spark, f"{root}/users", USERS_DDL, keys=["user_id"],
                       mode="earliest_wins", order_cols=["timestamp", "device_id"])
     await_queries([start_stream(regs, f"{root}/_ckpt", foreach_batch=target.merge)])
     return target.read()
@@ -107,7 +107,7 @@ def latest_profile_q(spark: SparkSession, d: str) -> DataFrame:
                             F.from_json("props", PAYLOAD_DDL).alias("payload"),
                             F.col("event_id").alias("offset"),
                             F.col("ts").alias("timestamp")), "payload")
-    target = LogTable(spark, f"{root}/profile", PROFILE_DDL, keys=["user_id"],
+    target = KeyedTable(spark, f"{root}/profile", PROFILE_DDL, keys=["user_id"],
                       mode="latest_wins", order_cols=["timestamp", "offset"])
     await_queries([start_stream(upd, f"{root}/_ckpt", foreach_batch=target.merge)])
     return target.read()
@@ -124,7 +124,7 @@ def pairs_streaming_q(spark: SparkSession, d: str) -> DataFrame:
     actions = _source(spark, d, root).select(
         "user_id", F.from_json("props", PAYLOAD_DDL)["k"].alias("session_id"), "ts", "event_type")
     pairs = pair_actions(actions, ["user_id", "session_id"], "ts", "event_type", START, STOP)
-    target = LogTable(spark, f"{root}/pairs", PAIRS_DDL, keys=["user_id", "session_id"], mode="update")
+    target = KeyedTable(spark, f"{root}/pairs", PAIRS_DDL, keys=["user_id", "session_id"], mode="update")
     await_queries([start_stream(pairs, f"{root}/_ckpt", foreach_batch=target.merge,
                                 output_mode="update")])
     return target.read()
@@ -145,7 +145,7 @@ def summary_stream_q(spark: SparkSession, d: str) -> DataFrame:
            .agg(F.min("value").alias("min_value"), F.avg("value").alias("avg_value"),
                 F.max("value").alias("max_value"), F.count("value").alias("n"))
            .join(dims, "user_id"))
-    target = LogTable(spark, f"{root}/summary", SUMMARY_DDL,
+    target = KeyedTable(spark, f"{root}/summary", SUMMARY_DDL,
                       keys=["user_id", "event_type"], mode="update")
     await_queries([start_stream(agg, f"{root}/_ckpt", foreach_batch=target.merge,
                                 output_mode="update")])

@@ -4,7 +4,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from pulsehouse.operators import AppendTable, LogTable, merge_rows, pick_per_key, read_if_there
+from pulsehouse.operators import AppendTable, KeyedTable, merge_rows, pick_per_key, read_if_there
 from pulsehouse.session import scratch_dir
 
 T = dt.datetime
@@ -80,14 +80,92 @@ def test_pick_per_key_hot_key_plan_is_partial(spark):
     assert out.first().v == 9999
 
 
-def test_log_replay_is_idempotent(spark):
-    root = scratch_dir(spark, "test_log_replay")
-    t = LogTable(spark, root, USERS, ["user_id"], "earliest_wins", ["timestamp", "device_id"])
+def _files(root):
+    return {f for f in pathlib.Path(root.removeprefix("file:")).rglob("part-*.parquet") if "_changes" not in str(f)}
+
+
+def test_keyed_replay_changes_nothing(spark):
+    root = scratch_dir(spark, "test_replay") + "/users"
+    t = KeyedTable(spark, root, USERS, ["user_id"], "earliest_wins", ["timestamp", "device_id"], changes=True)
     assert t.read().count() == 0
     t.merge(_df(spark, [(1, 11, T(2024, 1, 2))]), 0)
-    t.merge(_df(spark, [(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))]), 1)
-    t.merge(_df(spark, [(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))]), 1)   # replay
+    batch = _df(spark, [(1, 10, T(2024, 1, 1)), (2, 20, T(2024, 1, 1))])
+    t.merge(batch, 1)
+    assert _rows(t.read(), "user_id", "device_id") == [(1, 10), (2, 20)]
+    told = lambda: spark.read.schema(t.changes_ddl).parquet(t.changes_path)
+    want = [(1, 10, 1), (1, 11, -1), (1, 11, 1), (2, 20, 1)]
+    assert _rows(told(), "user_id", "device_id", "op") == want
+    t.merge(batch, 1)                                          # replay: told again, same rows
     assert _rows(t.read(), "user_id", "device_id") == [(1, 10), (2, 20)]
+    assert _rows(told().distinct().drop("load_time").distinct(), "user_id", "device_id", "op") == want
+    files = _files(root)
+    t.merge(_df(spark, [(1, 12, T(2024, 1, 5))]), 2)           # a later device changes nothing
+    assert _files(root) == files and _rows(told().drop("load_time").distinct(), "user_id", "device_id", "op") == want
+
+
+def test_changes_survive_a_failure_between_the_steps(spark, monkeypatch):
+    """The batch fails before, or after, the table is rewritten; its replay tells all changes."""
+    for step in ("_rewrite", "after"):
+        root = scratch_dir(spark, "test_fail") + "/users"
+        t = KeyedTable(spark, root, USERS, ["user_id"], "update", changes=True)
+        t.create()
+        t.merge(_df(spark, [(1, 10, None), (2, 20, None)]), 0)
+        rewrite = KeyedTable._rewrite
+
+        def fail(self, *a):
+            if step == "after":
+                rewrite(self, *a)
+            raise RuntimeError("lost")
+        monkeypatch.setattr(KeyedTable, "_rewrite", fail)
+        with pytest.raises(RuntimeError):
+            t.merge(_df(spark, [(1, 11, None), (3, 30, None)]), 1)
+        monkeypatch.setattr(KeyedTable, "_rewrite", rewrite)
+        t.merge(_df(spark, [(1, 11, None), (3, 30, None)]), 1)
+        assert _rows(t.read(), "user_id", "device_id") == [(1, 11), (2, 20), (3, 30)]
+        told = spark.read.schema(t.changes_ddl).parquet(t.changes_path).drop("load_time").distinct()
+        assert _rows(told, "user_id", "device_id", "op") == [(1, 10, -1), (1, 10, 1), (1, 11, 1), (2, 20, 1), (3, 30, 1)]
+
+
+def test_keys_can_go(spark):
+    root = scratch_dir(spark, "test_gone") + "/t"
+    t = KeyedTable(spark, root, USERS, ["user_id"], "update", buckets=64, changes=True)
+    t.merge(_df(spark, [(1, 10, None), (2, 20, None), (None, 5, None)]), 0)
+    gone = _df(spark, [(1,), (2,), (9,), (None,)], "user_id int")
+    t.merge(_df(spark, [(2, 21, None)]), 1, gone=gone)         # key 1 was alone in its partition
+    assert _rows(t.read(), "user_id", "device_id") == [(2, 21)]
+    t.merge(_df(spark, [], USERS), 2, gone=gone)
+    assert t.read().count() == 0
+    told = spark.read.schema(t.changes_ddl).parquet(t.changes_path)
+    assert told.agg(F.sum("op")).first()[0] == 0 and told.count() == 8
+
+
+def test_only_touched_partitions_are_rewritten(spark):
+    root = scratch_dir(spark, "test_touched_keys") + "/t"
+    for changes in (False, True):
+        t = KeyedTable(spark, f"{root}{changes}", USERS, ["user_id"], "update", buckets=32, changes=changes)
+        t.merge(_df(spark, [(i, i, T(2024, 1, 1)) for i in range(500)]), 0)
+        before = _files(t.root)
+        assert len({f.parent for f in before}) == 32
+        t.merge(_df(spark, [(7, 70, T(2024, 1, 1)), (8, 80, None)]), 1)
+        new, old = _files(t.root) - before, before - _files(t.root)
+        assert 1 <= len({f.parent for f in new}) <= 2 and {f.parent for f in new} == {f.parent for f in old}
+        assert t.read().count() == 500
+        assert _rows(t.read(_df(spark, [(7,), (8,), (900,)], "user_id int")), "user_id", "device_id") == [(7, 70), (8, 80)]
+
+
+def test_replace_withdraws_the_rows_of_groups(spark):
+    root = scratch_dir(spark, "test_replace")
+    t = AppendTable(spark, root, USERS, ["user_id", "timestamp"], date_of="timestamp")
+    t.merge(_df(spark, [(u, u, T(2024, 1, d)) for u in (1, 2, None) for d in (1, 2, 3)]), 0)
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 9)], "day date")
+    for _ in range(2):
+        t.replace(_df(spark, [(1,), (None,), (5,)], "user_id long"), days,
+                  _df(spark, [(1, 100, T(2024, 1, 2, 5)), (5, 5, T(2024, 1, 9))]), ["user_id"])
+        assert sorted(map(tuple, t.read().collect()), key=str) == sorted(
+            [(2, 2, T(2024, 1, d)) for d in (1, 2, 3)] + [(u, u, T(2024, 1, 3)) for u in (1, None)]
+            + [(1, 100, T(2024, 1, 2, 5)), (5, 5, T(2024, 1, 9))], key=str)
+    t.replace(_df(spark, [(5,)], "user_id long"), days, _df(spark, []), ["user_id"])   # its day is empty now
+    assert t.read(days).where("timestamp >= '2024-01-09'").count() == 0 and t.read().count() == 6
 
 
 def _damage(folder):
@@ -103,15 +181,13 @@ def test_an_unreadable_table_is_not_an_empty_table(spark):
     """A restarted writer that cannot read what is stored fails; it does not begin anew."""
     root = scratch_dir(spark, "test_damage")
     rows = [(i, i, T(2024, 1, 1)) for i in range(3)]
-    log = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
-    log.merge(_df(spark, rows), 0)
-    log.compact()
-    _damage(f"{root}/log/bases")
-    again = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
+    KeyedTable(spark, f"{root}/keyed", USERS, ["user_id"], "update").merge(_df(spark, rows), 0)
+    _damage(f"{root}/keyed")
+    again = KeyedTable(spark, f"{root}/keyed", USERS, ["user_id"], "update")
     with pytest.raises(Exception):
         again.read().collect()
     with pytest.raises(Exception):
-        again.compact()
+        again.merge(_df(spark, rows), 1)
     app = AppendTable(spark, f"{root}/app", USERS, ["user_id", "timestamp"], date_of="timestamp")
     app.merge(_df(spark, rows), 0)
     _damage(f"{root}/app")
@@ -121,26 +197,6 @@ def test_an_unreadable_table_is_not_an_empty_table(spark):
     assert read_if_there(spark, "x int", f"{root}/nothing") is None
 
 
-def test_a_base_cut_short_is_not_read(spark):
-    root = scratch_dir(spark, "test_base")
-    t = LogTable(spark, root, USERS, ["user_id"], "update")
-    for b in (0, 1):
-        t.merge(_df(spark, [(5 * b + i, i, T(2024, 1, 1)) for i in range(5)]), b)
-    # a compaction that ended half way: some of its rows, and no note of its end
-    t.read().limit(5).write.parquet(f"{root}/base/log_base=1")
-    assert t.read().count() == 10
-    assert t.compact() == 1 and t.read().count() == 10
-
-
-def test_log_compacts_by_itself(spark):
-    root = scratch_dir(spark, "test_compact")
-    t = LogTable(spark, root, USERS, ["user_id"], "latest_wins", ["timestamp"], compact_every=2)
-    for b in range(5):
-        t.merge(_df(spark, [(1, b, T(2024, 1, 1 + b)), (10 + b, 0, None)]), b)
-    assert t._base_id() == 3
-    assert _rows(t.read(), "user_id", "device_id") == [(1, 4), (10, 0), (11, 0), (12, 0), (13, 0), (14, 0)]
-
-
 def test_null_times_lose_in_both_directions(spark):
     rows = [(1, 5, None), (1, 6, T(2024, 1, 1)), (1, 7, T(2024, 1, 3)), (2, 8, None)]
     for latest, want in ((False, 6), (True, 7)):
@@ -171,23 +227,32 @@ def test_partition_column_comes_from_a_key(spark):
         for i, b in enumerate(batches):
             t.merge(_df(spark, b), i)
         assert t.read().count() == 2
-        assert t.read(T(2024, 1, 2), T(2024, 1, 3)).count() == 1
+        day = spark.createDataFrame([(dt.date(2024, 1, 2),)], "day date")
+        assert t.read(day).count() == 1
 
 
 def test_files_of_a_batch_grow_with_the_batch(spark):
     """A small batch into a large table writes a few files, whatever the table's size."""
-    files = lambda p: {f for f in pathlib.Path(p.removeprefix("file:")).rglob("part-*.parquet")}
     root = scratch_dir(spark, "test_batch_files")
     app = AppendTable(spark, f"{root}/app", USERS, ["user_id", "timestamp"], date_of="timestamp")
-    log = LogTable(spark, f"{root}/log", USERS, ["user_id"], "update")
     many = _df(spark, [(i, i, T(2024, 1, 1) + dt.timedelta(days=i % 60)) for i in range(3000)])
-    for t in (app, log):
-        t.merge(many, 0)
-        before = files(t.root)
-        t.merge(_df(spark, [(10_000, 1, T(2024, 1, 5)), (5, 5, T(2024, 1, 6))]), 1)
-        added = files(t.root) - before
-        assert before <= files(t.root) and 1 <= len(added) <= 8
-    assert len({f.parent for f in files(app.root)}) == 60
+    app.merge(many, 0)
+    before = _files(app.root)
+    app.merge(_df(spark, [(10_000, 1, T(2024, 1, 5)), (5, 5, T(2024, 1, 6))]), 1)
+    assert before <= _files(app.root) and 1 <= len(_files(app.root) - before) <= 8
+    assert len({f.parent for f in before}) == 60
+
+
+def test_a_table_without_dates_reads_the_batchs_hash_partitions(spark, monkeypatch):
+    root = scratch_dir(spark, "test_hash_parts")
+    t = AppendTable(spark, root, USERS, ["user_id"], ["timestamp", "device_id"], buckets=16)
+    t.merge(_df(spark, [(i, i, T(2024, 1, 1)) for i in range(300)]), 0)
+    opened, stored = [], AppendTable._stored
+    monkeypatch.setattr(AppendTable, "_stored", lambda self, parts=None: opened.append(parts) or stored(self, parts))
+    t.merge(_df(spark, [(7, 70, T(2024, 1, 2)), (900, 1, None)]), 1)
+    assert len(opened) == 1 and 1 <= len(opened[0]) <= 2
+    monkeypatch.undo()
+    assert t.read().count() == 301 and _rows(t.read().where("user_id = 7"), "device_id") == [(7,)]
 
 
 def test_only_touched_partitions_are_opened(spark):
@@ -248,23 +313,26 @@ def test_merge_independent_of_batch_split(spark, rows, cuts):
 @settings(max_examples=6, deadline=None)
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.integers(0, 9)),
                      min_size=1, max_size=20, unique_by=lambda r: (r[0], r[1], r[2])),
-       cuts=st.lists(st.integers(0, 20), max_size=3), compact_after=st.integers(0, 3))
-def test_log_table_equals_copy_on_write(spark, rows, cuts, compact_after):
-    """Merge-on-read (LogTable, with a compaction somewhere in the sequence)
-    gives the same table as merging batch by batch."""
+       cuts=st.lists(st.integers(0, 20), max_size=3), changes=st.booleans())
+def test_keyed_table_equals_merging_by_hand(spark, rows, cuts, changes):
+    """Merging into touched partitions gives the table of ``merge_rows``, and the changes
+    told add up to it."""
     ddl = "k int, t int, v int"
     bounds = sorted({0, len(rows), *[min(c, len(rows)) for c in cuts]})
     batches = [rows[a:b] for a, b in zip(bounds, bounds[1:]) if rows[a:b]]
     for mode, order in (("update", ["t", "v"]), ("insert_only", ["t", "v"]),
                         ("latest_wins", ["t", "v"]), ("max", None)):
-        log = LogTable(spark, scratch_dir(spark, "test_log"), ddl, ["k"], mode, order)
+        t = KeyedTable(spark, scratch_dir(spark, "test_keyed") + "/t", ddl, ["k"], mode, order,
+                       buckets=3, changes=changes)
         target = None
         for i, b in enumerate(batches):
             df = spark.createDataFrame(b, ddl)
-            log.merge(df, i)
+            t.merge(df, i)
             target = merge_rows(target, df, ["k"], mode, order)
             target = spark.createDataFrame(target.collect(), ddl)
-            if i == compact_after:
-                log.compact()
-        assert sorted(map(tuple, log.read().collect())) == \
-            sorted(map(tuple, target.collect())), mode
+        want = sorted(map(tuple, target.collect()))
+        assert sorted(map(tuple, t.read().collect())) == want, mode
+        if changes:
+            told = (spark.read.schema(t.changes_ddl).parquet(t.changes_path).groupBy("k", "t", "v")
+                    .agg(F.sum("op").alias("n")).where("n != 0"))
+            assert sorted((r.k, r.t, r.v, r.n) for r in told.collect()) == [(*w, 1) for w in want]
