@@ -282,7 +282,7 @@ ORACLE["layer_changes"] = """
              l.l_shipdate + to_minutes(l.l_linenumber) AS time, l.l_quantity * 4 - 20 AS heartrate,
              row_number() OVER (PARTITION BY o.o_custkey * 2 + (l.l_linenumber // 2) % 2,
                                              l.l_shipdate + to_minutes(l.l_linenumber)
-                                ORDER BY l.l_linenumber % 2, l.l_orderkey * 8 + l.l_linenumber) AS rn
+                                ORDER BY l.l_linenumber % 2, l.l_orderkey * 8 + l.l_linenumber, l.l_quantity) AS rn
       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) x WHERE rn = 1),
   bpm AS (
     SELECT s.*, r.time, r.heartrate
