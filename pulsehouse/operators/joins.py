@@ -123,6 +123,26 @@ def pair_actions(events: DataFrame, keys: list[str], time_col: str, action_col:
     return sessions.where(F.col(end_name) >= F.col(start_name))
 
 
+def open_or_paired(starts: DataFrame, stops: DataFrame, keys: list[str], start_col: str,
+                   stop_col: str, within: str, late: str) -> DataFrame:
+    """Starts with their stops, or alone (J4 as an outer join of two streams).
+
+    ``keys``, ``start_col``, ``stop_col``: every start with each stop of its keys that comes
+    at or after it and no more than ``within`` later; a start whose time for that has gone
+    by without one comes with a NULL stop. Both times are instants. State is bounded: a
+    start leaves it when the watermark (``late`` behind the newest time of both streams) is
+    ``within`` past it, a stop when it is past the stop. This is a report of sessions that
+    are open or were closed in time; ``pair_actions`` has no such bound and pairs all rows.
+    """
+    a, b = starts.withWatermark(start_col, late).alias("__a"), stops.withWatermark(stop_col, late).alias("__b")
+    cond = F.col(f"__b.{stop_col}").between(F.col(f"__a.{start_col}"),
+                                            F.col(f"__a.{start_col}") + F.expr(f"INTERVAL {within}"))
+    for k in keys:
+        cond = cond & (F.col(f"__a.{k}") == F.col(f"__b.{k}"))
+    return a.join(b, cond, "left_outer").select(*[F.col(f"__a.{c}") for c in starts.columns],
+                                                F.col(f"__b.{stop_col}"))
+
+
 def attach_readings(readings: DataFrame, sessions: DataFrame, on: list[str],
                     time_col: str = "time", start_col: str = "start_time",
                     end_col: str = "end_time", valid_col: str | None = "valid",

@@ -20,6 +20,7 @@ QUERIES = {
     "validity_flag": batch.validity_flag_q,
     "count_checks": batch.count_checks_q,
     "rows_equal": batch.rows_equal_q,
+    "tables_differ": batch.tables_differ_q,
     "first_seen_insert_only": streams.first_seen_insert_only_q,
     "first_seen_earliest_wins": streams.first_seen_earliest_wins_q,
     "latest_profile": streams.latest_profile_q,
@@ -28,6 +29,11 @@ QUERIES = {
     "csv_ingest": streams.csv_ingest_q,
     "bus_ingest": streams.bus_ingest_q,
     "compact_files": streams.compact_files_q,
+    "compact_partitions": streams.compact_partitions_q,
+    "dedupe_stream": streams.dedupe_stream_q,
+    "csv_rejects": streams.csv_rejects_q,
+    "observed_checks": streams.observed_checks_q,
+    "open_sessions": streams.open_sessions_q,
     "layer_waves": layered.layer_waves_q,
     "gym_summary": layered.gym_summary_q,
     "user_profile_layer": layered.user_profile_layer_q,

@@ -292,3 +292,56 @@ ORACLE["layer_changes"] = """
   SELECT *, min(heartrate) OVER w AS min_bpm, round(avg(heartrate) OVER w, 6) AS avg_bpm,
          max(heartrate) OVER w AS max_bpm, count(heartrate) OVER w AS num_recordings
   FROM bpm WINDOW w AS (PARTITION BY user_id, workout_id, session_id)"""
+
+_DAMAGED = """
+  SELECT event_id, CASE WHEN event_id % 1201 <> 8 THEN user_id END AS user_id, event_type,
+         CASE WHEN event_id % 997 = 3 THEN value + 1 ELSE value END AS value
+  FROM events, range(2) t(again) WHERE event_id % 1009 <> 5 AND (again = 0 OR event_id % 1013 = 7)"""
+_EVENTS4 = "SELECT event_id, user_id, event_type, value FROM events"
+
+ORACLE.update({
+    "tables_differ": f"""
+  SELECT part, CAST(sum(missing) AS BIGINT) AS missing, CAST(sum(extra) AS BIGINT) AS extra FROM (
+    SELECT CAST(floor(event_id / 100) AS BIGINT) AS part, 1 AS missing, 0 AS extra
+    FROM (({_DAMAGED}) EXCEPT ALL ({_EVENTS4})) a
+    UNION ALL
+    SELECT CAST(floor(event_id / 100) AS BIGINT), 0, 1 FROM (({_EVENTS4}) EXCEPT ALL ({_DAMAGED})) b) c
+  GROUP BY part""",
+
+    "dedupe_stream": """
+  SELECT user_id, count(DISTINCT event_id % 10) AS n_rows FROM events GROUP BY user_id""",
+
+    "csv_rejects": f"""
+  WITH l AS (
+    SELECT event_id, user_id, event_id % 70 = 7 AS wordy, event_id % 50 = 3 AS short,
+           event_id % 110 = 9 AND event_id % 50 <> 3 AS long, {EPOCH_S.format(c='ts')} AS s,
+           lpad(hex(event_id), 12, '0') AS mac FROM events)
+  SELECT CASE WHEN ok THEN user_id END AS user_id, CASE WHEN ok THEN event_id END AS device_id,
+         CASE WHEN ok THEN mac END AS mac_address,
+         CASE WHEN ok THEN CAST(s AS DOUBLE) END AS registration_timestamp,
+         CASE WHEN NOT ok THEN concat_ws(',', CASE WHEN wordy THEN 'bad' ELSE CAST(user_id AS VARCHAR) END,
+           event_id, mac, CASE WHEN NOT short THEN s END, CASE WHEN long THEN 'more' END) END AS text,
+         CASE WHEN short THEN '3 of 4 fields' WHEN long THEN 'too many fields'
+              WHEN wordy THEN 'no value for user_id' END AS reason
+  FROM (SELECT *, NOT (wordy OR short OR long) AS ok FROM l) m""",
+
+    "observed_checks": """
+  WITH e AS (
+    SELECT 'events.has_user' AS "check", user_id IS NOT NULL AS ok FROM events
+    UNION ALL SELECT 'events.valued', value > 10 FROM events
+    UNION ALL SELECT 'events.known_type', event_type IN ('click', 'view', 'purchase') FROM events
+    UNION ALL SELECT 'events.newer', ts >= TIMESTAMP '2024-01-01' FROM events)
+  SELECT "check", count(*) AS rows, count(*) FILTER (WHERE ok IS NOT TRUE) AS broken,
+         count(*) FILTER (WHERE ok IS NOT TRUE) = 0 AS ok FROM e GROUP BY "check\"""",
+
+    "compact_partitions": """
+  SELECT event_type AS topic, strftime(ts, '%G-%V') AS week_part, count(*) AS rows,
+         CAST(sum(event_id) AS BIGINT) AS ids, CAST(1 AS BIGINT) AS files, true AS rewritten, CAST(0 AS BIGINT) AS again
+  FROM events GROUP BY 1, 2""",
+
+    "open_sessions": """
+  SELECT a.event_id, a.user_id, a.ts AS start_time, b.ts AS end_time
+  FROM events a LEFT JOIN events b ON b.event_type = 'purchase' AND b.user_id = a.user_id
+    AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 2 HOUR
+  WHERE a.event_type = 'view'""",
+})

@@ -11,19 +11,23 @@ boundaries).
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse.functions.envelope import decode_envelope, flatten, to_envelope
-from pulsehouse.functions.time import epoch_double, epoch_seconds
-from pulsehouse.operators.joins import pair_actions
-from pulsehouse.operators.maintenance import compact
+from pulsehouse.functions.time import epoch_double, epoch_seconds, to_instant, to_wall, week_part
+from pulsehouse.operators.joins import open_or_paired, pair_actions
+from pulsehouse.operators.maintenance import compact, compact_partitions, partition_files
 from pulsehouse.operators.merge import AppendTable, KeyedTable
 from pulsehouse.plans.batch import EVENT_DDL, PAYLOAD_DDL, READING, START, STOP
 from pulsehouse.schemas import JSON_OPTIONS, REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
 from pulsehouse.sources.files import csv_stream, parquet_stream, with_ingest_columns
 from pulsehouse.sources.tables import read_table
+from pulsehouse.streaming.ingest import (CORRUPT, Observed, checked_csv_stream, csv_fault, expect,
+                                         split_rejects)
 from pulsehouse.streaming.layers import Lakehouse
 from pulsehouse.streaming.runner import await_queries, start_stream
 
@@ -199,3 +203,106 @@ def compact_files_q(spark: SparkSession, d: str) -> DataFrame:
                                 query_name="events_json", options=JSON_OPTIONS)])
     out = compact(spark, small, f"{root}/compacted", EVENT_DDL, bytes_per_file=COMPACT_BYTES)
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def dedupe_stream_q(spark: SparkSession, d: str) -> DataFrame:
+    """What stateful de-duplication lets through, before any merge (A7, T7): every
+    registration arrives twice in each of two micro-batch orders, with ten devices a user."""
+    root = scratch_dir(spark, "dedupe_stream")
+    regs = _source(spark, d, root).select("user_id", (F.col("event_id") % 10).alias("device_id"),
+                                          F.explode(F.array(F.lit(0), F.lit(1))).alias("again"))
+    await_queries([start_stream(regs.dropDuplicates(["user_id", "device_id"]).drop("again"), f"{root}/_ckpt",
+                                path=f"{root}/out")])
+    return (spark.read.schema("user_id LONG, device_id LONG").parquet(f"{root}/out")
+            .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+SHORT_EVERY, WORDY_EVERY, LONG_EVERY = 50, 70, 110    # of such events a line lacks a field, ...
+
+
+def csv_rejects_q(spark: SparkSession, d: str) -> DataFrame:
+    """Registrations of which some lines do not fit (S1): the accepted rows and, with their
+    text and what is wrong, the rejected ones. Together they are the lines read."""
+    root = scratch_dir(spark, "csv_rejects")
+    n = F.col("event_id")
+    line = F.concat_ws(",", F.when(n % WORDY_EVERY == 7, F.lit("bad")).otherwise(F.col("user_id").cast("string")), n,
+                       F.lpad(F.hex(n), 12, "0"), F.when(n % SHORT_EVERY != 3, epoch_seconds("ts").cast("string")),
+                       F.when((n % LONG_EVERY == 9) & (n % SHORT_EVERY != 3), F.lit("more")))
+    (read_table(spark, d, "events", ["event_id", "user_id", "ts"]).select(line.alias("value"))
+     .write.option("compression", "none").text(f"{root}/landing"))
+    src = checked_csv_stream(spark, f"{root}/landing", REGISTRATION_CSV, header=False, glob="*.txt")
+    fault = F.when(F.col(CORRUPT).isNotNull(), csv_fault(REGISTRATION_CSV))
+    await_queries([start_stream(src, f"{root}/_ckpt", foreach_batch=split_rejects(
+        f"{root}/accepted", f"{root}/rejects", fault, CORRUPT))])
+    good = spark.read.parquet(f"{root}/accepted").select(
+        "user_id", "device_id", "mac_address", "registration_timestamp",
+        F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("reason"))
+    bad = spark.read.parquet(f"{root}/rejects").select("text", "reason")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def observed_checks_q(spark: SparkSession, d: str) -> DataFrame:
+    """Expectations counted while a stream writes (V1, V4): rows that break each rule, over
+    all micro-batches, without reading the table again."""
+    root = scratch_dir(spark, "observed_checks")
+    ev = expect(_source(spark, d, root), "events", has_user="user_id IS NOT NULL", valued="value > 10",
+                known_type="event_type IN ('click', 'view', 'purchase')", newer="ts >= '2024-01-01'")
+    with Observed(spark) as seen:
+        q = start_stream(ev, f"{root}/_ckpt", path=f"{root}/out")
+        await_queries([q])
+        seen.take_in(q)
+    return seen.checks().groupBy("check").agg(F.sum("rows").alias("rows"), F.sum("broken").alias("broken"),
+                                              F.bool_and("ok").alias("ok"))
+
+
+def compact_partitions_q(spark: SparkSession, d: str) -> DataFrame:
+    """A table partitioned by topic and week, written in small files by several
+    micro-batches, compacted partition by partition (K5, K6): rows, and files after it. A
+    second run finds nothing to do."""
+    root = scratch_dir(spark, "compact_partitions")
+    ev = (_source(spark, d, root).withColumn("topic", F.col("event_type")).withColumn("week_part", week_part("ts")))
+    by, table = ["topic", "week_part"], f"{root}/bus"
+    await_queries([start_stream(ev, f"{root}/_ckpt", partition_by=by, foreach_batch=lambda b, _: (
+        b.write.mode("append").partitionBy(*by).parquet(table)))])
+    ddl = f"{EVENT_DDL}, topic STRING, week_part STRING"
+    first = compact_partitions(spark, table, ddl, by, COMPACT_BYTES)
+    second = compact_partitions(spark, table, ddl, by, COMPACT_BYTES)
+    rows = (spark.read.schema(ddl).parquet(table).groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids")))
+    return (rows.join(partition_files(spark, table, by).drop("bytes"), by)
+            .withColumn("rewritten", F.lit(first > 0)).withColumn("again", F.lit(second).cast("long")))
+
+
+WITHIN, LATE = "2 HOURS", "1 hour"
+
+
+def open_sessions_q(spark: SparkSession, d: str) -> DataFrame:
+    """Every ``view`` with the ``purchase`` events of its user in the two hours after it, or
+    alone when there are none: an outer join of two streams with bounded state (J4). The
+    events come in order of time, in several micro-batches; a last one moves the watermark
+    past all of them."""
+    root = scratch_dir(spark, "open_sessions")
+    ev = read_table(spark, d, "events", ["event_id", "user_id", "event_type", "ts"])
+    lo, hi, size = ev.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    ev = ev.withColumn("ts", to_instant("ts"))
+    files = max(1, -(-size // 2_000_000))
+    for k in range(BATCHES + 1):
+        a, b = (lo + (hi - lo) * i / BATCHES for i in (k, k + 1))
+        part = ev.where((F.col("ts") >= F.lit(a).cast("timestamp")) & (F.col("ts") < F.lit(b).cast("timestamp")))
+        if k == BATCHES:        # the last moment, and an event of each kind long after it
+            end = spark.range(2).select(
+                F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"),
+                F.when(F.col("id") == 0, F.lit(START)).otherwise(STOP).alias("event_type"),
+                F.lit(hi + datetime.timedelta(days=400)).cast("timestamp").alias("ts"))
+            part = part.unionByName(end)
+        part.repartition(files).write.mode("append").parquet(f"{root}/source")
+    src = lambda: parquet_stream(spark, f"{root}/source", "event_id LONG, user_id LONG, event_type STRING, "
+                                 "ts TIMESTAMP", max_files=files)
+    starts = src().where(F.col("event_type") == START).select("event_id", "user_id", F.col("ts").alias("start_time"))
+    stops = src().where(F.col("event_type") == STOP).select("user_id", F.col("ts").alias("end_time"))
+    out = open_or_paired(starts, stops, ["user_id"], "start_time", "end_time", WITHIN, LATE)
+    await_queries([start_stream(out, f"{root}/_ckpt", path=f"{root}/out")])
+    return (spark.read.schema("event_id LONG, user_id LONG, start_time TIMESTAMP, end_time TIMESTAMP")
+            .parquet(f"{root}/out").where("user_id >= 0")
+            .select("event_id", "user_id", to_wall("start_time").alias("start_time"),
+                    to_wall("end_time").alias("end_time")))
