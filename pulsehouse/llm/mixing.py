@@ -18,8 +18,8 @@ What is joined to the documents is one row for each source.
 
 Defined results: a null text has size 0; a null source is a source of its own, after all
 others in code point order; the weights are dealt to the sources in that order, again and
-again. Rows with equal rank (repeated rows, rows without doc_id in one source) are on one
-side of the edge together. A source without words has target 0. An empty table gives an
+again. A row without doc_id is drawn by its text. Rows with equal rank (repeated rows, rows
+without doc_id and of one text in one source) are on one side of the edge together. A source without words has target 0. An empty table gives an
 empty result. Other columns are not read, and ``mixed`` returns the given columns alone.
 """
 
@@ -44,9 +44,11 @@ def size_of(text: str = "text") -> Column:
     return F.regexp_count(shown(text), F.lit(WORD)).cast("long")
 
 
-def draw(id_col: str = "doc_id") -> Column:
-    """A uniform number in (0, 1), the same in every run, from 52 bits of the id's MD5."""
-    key = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+def draw(id_col: str = "doc_id", text: str | None = None) -> Column:
+    """A uniform number in (0, 1), the same in every run, from 52 bits of the id's MD5; of a
+    row without an id, from those of its text's MD5."""
+    own = F.coalesce(F.col(id_col).cast("string"), F.md5(shown(text).cast("binary")) if text else F.lit(""))
+    key = F.md5(F.concat(F.lit("mix:"), own))
     bits = F.conv(F.substring(key, 1, 13), 16, 10).cast("long")
     return (bits + 0.5) / F.lit(float(TOP))
 
@@ -90,7 +92,8 @@ def edges(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
     """(documents' doc_id, source, size; sources' source, source_size, target, copies, p,
     last). A document of the source is taken ``copies`` times, and once more if its rank
     under p is at most ``last``."""
-    sizes = stored(documents.select("doc_id", "source", size_of().alias("size")), "mix-sizes")
+    sizes = stored(documents.select("doc_id", "source", size_of().alias("size"), draw(text="text").alias("u")),
+                   "mix-sizes")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = stored(source_targets(sizes, weights, cap)
                      .withColumn("copies", F.floor(ratio).cast("long"))
@@ -98,7 +101,7 @@ def edges(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
                      .withColumn("room", F.col("target") - F.col("copies") * F.col("source_size")), "mix-targets")
     at = sources.select(F.col("source").alias("s"), "p", "room")
     ranked = stored(sizes.join(at, F.col("source").eqNullSafe(F.col("s")))
-                    .where("p > 0").select("source", "size", pareto_rank(draw(), F.col("p")).alias("rank")),
+                    .where("p > 0").select("source", "size", pareto_rank(F.col("u"), F.col("p")).alias("rank")),
                     "mix-ranks")
     state = at.where("p > 0").select("s", "room", F.lit(0).cast("long").alias("prefix"),
                                      F.lit(0).cast("long").alias("taken"))
@@ -123,8 +126,8 @@ def edges(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
         "mix-last")
 
 
-def _copies() -> Column:
-    extra = (F.col("p_") > 0) & (pareto_rank(draw(), F.col("p_")) <= F.col("last_"))
+def _copies(u: Column) -> Column:
+    extra = (F.col("p_") > 0) & (pareto_rank(u, F.col("p_")) <= F.col("last_"))
     return F.col("copies_") + extra.cast("long")
 
 
@@ -138,14 +141,14 @@ def mix(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = C
     sizes, sources = edges(documents, weights, cap)
     return _joined(sizes, sources).select(
         F.col("doc_id").cast("long").alias("doc_id"), "size", F.col("source_size_").alias("source_size"),
-        F.col("target_").alias("target"), (F.col("size") * _copies()).alias("taken"))
+        F.col("target_").alias("target"), (F.col("size") * _copies(F.col("u"))).alias("taken"))
 
 
 def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP) -> DataFrame:
     """The mix itself: each row of ``documents``, with its columns, as often as it is taken."""
     _, sources = edges(documents, weights, cap)
     return (_joined(documents, sources)
-            .select(*[documents[c] for c in documents.columns], _copies().cast("int").alias("copies__"))
+            .select(*[documents[c] for c in documents.columns], _copies(draw(text="text")).cast("int").alias("copies__"))
             .where("copies__ > 0")
             .withColumn("copies__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).drop("copies__"))
 
@@ -154,7 +157,7 @@ def mixed(documents: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float =
 ORACLE = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-    (CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
+    (CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
       / 4503599627370496::DOUBLE AS u
   FROM {documents}),
 sources AS (

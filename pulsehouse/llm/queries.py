@@ -139,15 +139,15 @@ ORACLE = {
     "op2_mixing": mixing.ORACLE.format(documents="documents"),
     "op10_top_k": """
         WITH v AS (
-          SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS v
+          SELECT row_number() OVER () AS id, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS v
           FROM embeddings
           WHERE vec_id IS NOT NULL AND len(embedding) > 0
             AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
         s AS (
-          SELECT q.vec_id AS query_id, c.vec_id,
+          SELECT q.id, q.vec_id AS query_id, c.vec_id,
             CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
-          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+          FROM v q JOIN v c ON q.id <> c.id WHERE q.vec_id % 50 = 0)
         SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
-        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        WINDOW w AS (PARTITION BY id ORDER BY score DESC, vec_id)
         QUALIFY row_number() OVER w <= 5""",
 }

@@ -19,8 +19,9 @@ A cell is bounded by the block sizes; the queries are a stated set (ids divisibl
 ``EVERY``) against all rows, in blocks, and nothing is broadcast.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component, and
-rows with a null id, take no part. Shorter vectors count as filled up with zeros. An id
-names one vector: of several rows with an id the largest vector stands. Ties go to smaller
+rows with a null id, take no part. Shorter vectors count as filled up with zeros. Rows
+with one id are rows of their own: each takes part, as a candidate of the others too, and
+each is a query if its id is one; a row is no candidate of itself alone. Ties go to smaller
 ids. Scores are exact as long as they fit 64 bits. An empty table gives an empty result.
 """
 
@@ -43,13 +44,14 @@ QUERY_BLOCK, BLOCK = 512, 1024
 
 def whole_vectors(embeddings: DataFrame, id_col: str = "vec_id",
                   vector: str = "embedding") -> DataFrame:
-    """vec_id, v: the vectors that take part, as arrays of long."""
+    """row (a number of its own), vec_id, v: the vectors that take part, as arrays of long. The
+    numbers hold for as long as the rows are stored."""
     finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    rows = (embeddings.select(F.col(id_col).cast("long").alias("vec_id"),
+    return (embeddings.select(F.col(id_col).cast("long").alias("vec_id"),
                               F.transform(F.col(vector), lambda c: c.cast("double")).alias("x"))
             .where("vec_id is not null and size(x) > 0").where(finite)
-            .select("vec_id", F.transform("x", lambda c: F.floor(c * 256)).alias("v")))
-    return rows.groupBy("vec_id").agg(F.max("v").alias("v"))
+            .select(F.monotonically_increasing_id().alias("row"), "vec_id",
+                    F.transform("x", lambda c: F.floor(c * 256)).alias("v")))
 
 
 def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -77,60 +79,82 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))[:k]]
 
 
-def _lists(q: pd.DataFrame, c: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+def _sliced(v: np.ndarray) -> list[np.ndarray]:
+    edges = np.linspace(0, v.shape[1], SLICES + 1).astype(int)
+    return [v[:, i:j] for i, j in zip(edges, edges[1:])]
+
+
+def _slices(q: pd.DataFrame, c: pd.DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
     width = max(max(map(len, q["v"])), max(map(len, c["v"])))
-    a, b = _matrix(q["v"], width), _matrix(c["v"], width)
-    edges = np.linspace(0, width, SLICES + 1).astype(int)
-    lists = [_products(a[:, i:j], b[:, i:j]) for i, j in zip(edges, edges[1:])]
-    return q["vec_id"].to_numpy(np.int64), c["vec_id"].to_numpy(np.int64), sum(lists), lists
+    return _sliced(_matrix(q["v"], width)), _sliced(_matrix(c["v"], width))
+
 
+def _reach(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """For each query no less than its best score in the cell: the lengths of its parts times
+    the greatest lengths of the candidates' parts, added up."""
+    length = lambda x: np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
+    return sum(length(x) * length(y).max(initial=0) for x, y in zip(a, b)) * (1 + 1e-9) + 1
 
-FOUND = "query_id long, vec_id long, score long"
 
+FOUND = "row long, query_id long, vec_id long, score long"
 
-def _frame(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+
+def _frame(parts: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pd.DataFrame:
     if not parts:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-    return pd.DataFrame({"query_id": np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]),
-                         "vec_id": np.concatenate([p[1] for p in parts]),
-                         "score": np.concatenate([p[2] for p in parts])})
+        return pd.DataFrame({"row": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
+    sizes = [len(p[2]) for p in parts]
+    return pd.DataFrame({"row": np.repeat([p[0] for p in parts], sizes),
+                         "query_id": np.repeat([p[1] for p in parts], sizes),
+                         "vec_id": np.concatenate([p[2] for p in parts]),
+                         "score": np.concatenate([p[3] for p in parts])})
 
 
 def _gather(k: int):
+    """The best of what the k highest entries of each of a cell's lists name."""
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(q) and len(c):
-            q_ids, c_ids, _, lists = _lists(q, c)
-            for i, me in enumerate(q_ids):
-                other = np.flatnonzero(c_ids != me)
+            lists = [_products(x, y) for x, y in zip(*_slices(q, c))]
+            ids, rows = c["vec_id"].to_numpy(np.int64), c["row"].to_numpy(np.int64)
+            for i, (me, name) in enumerate(zip(q["row"], q["vec_id"])):
+                other = np.flatnonzero(rows != me)
                 if not len(other):
                     continue
                 known = np.unique(np.concatenate(
-                    [other[_best(part[i][other], c_ids[other], k)] for part in lists]))
+                    [other[_best(part[i][other], ids[other], k)] for part in lists]))
                 totals = sum(part[i][known] for part in lists)
-                top = _best(totals, c_ids[known], k)
-                parts.append((me, c_ids[known[top]], totals[top]))
+                top = _best(totals, ids[known], k)
+                parts.append((me, name, ids[known[top]], totals[top]))
         return _frame(parts)
     return cell
 
 
 def _resolve(k: int):
+    """The k best of a cell among those that reach the cutoff; a score that does has an entry
+    of at least the cutoff's share in one of the lists. Queries that nothing in the cell can
+    lift to their cutoff are not multiplied."""
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(q) and len(c):
-            q_ids, c_ids, _, lists = _lists(q, c)
+            a, b = _slices(q, c)
             # a query with fewer than k gathered entries has no cutoff: all its rows stay
             cut = q["cutoff"].to_numpy(np.float64, na_value=-np.inf)
+            alive = np.flatnonzero(_reach(a, b) >= cut)
+            if not len(alive):
+                return _frame(parts)
+            lists = [_products(x[alive], y) for x, y in zip(a, b)]
             share = np.floor(cut / len(lists))
-            for i, me in enumerate(q_ids):
-                enough = lists[0][i] >= share[i]
+            ids, rows = c["vec_id"].to_numpy(np.int64), c["row"].to_numpy(np.int64)
+            mine, names = q["row"].to_numpy(np.int64), q["vec_id"].to_numpy(np.int64)
+            for at, i in enumerate(alive):
+                enough = lists[0][at] >= share[i]
                 for part in lists[1:]:
-                    enough |= part[i] >= share[i]
-                known = np.flatnonzero(enough & (c_ids != me))
-                totals = sum(part[i][known] for part in lists)
+                    enough |= part[at] >= share[i]
+                known = np.flatnonzero(enough & (rows != mine[i]))
+                totals = sum(part[at][known] for part in lists)
                 known, totals = known[totals >= cut[i]], totals[totals >= cut[i]]
-                top = _best(totals, c_ids[known], k)
-                parts.append((me, c_ids[known[top]], totals[top]))
+                top = _best(totals, ids[known], k)
+                parts.append((mine[i], names[i], ids[known[top]], totals[top]))
         return _frame(parts)
     return cell
 
@@ -138,8 +162,10 @@ def _resolve(k: int):
 def _cells(queries: DataFrame, rows: DataFrame, q_blocks: int, c_blocks: int, task) -> DataFrame:
     n = max(1, min(q_blocks * c_blocks, 100 * partitions(rows.sparkSession)))
     every = lambda n_blocks: F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
-    q = queries.withColumn("q_block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(q_blocks)).cast("int"))
-    c = rows.withColumn("c_block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(c_blocks)).cast("int"))
+    # both sides come from one stored table: columns of their own for the queries
+    queries = queries.select(*[F.col(x).alias(x) for x in queries.columns])
+    q = queries.withColumn("q_block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(q_blocks)).cast("int"))
+    c = rows.withColumn("c_block", F.pmod(F.xxhash64("row", F.lit(2)), F.lit(c_blocks)).cast("int"))
     q = q.withColumn("c_block", every(c_blocks)).repartition(n, "q_block", "c_block")
     c = c.withColumn("q_block", every(q_blocks)).repartition(n, "q_block", "c_block")
     keys = ["q_block", "c_block"]
@@ -147,7 +173,7 @@ def _cells(queries: DataFrame, rows: DataFrame, q_blocks: int, c_blocks: int, ta
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -160,7 +186,7 @@ def top_k(embeddings: DataFrame, k: int = 5, every: int = EVERY) -> DataFrame:
     q_blocks, c_blocks = max(1, -(-size.q // QUERY_BLOCK)), max(1, -(-size.n // BLOCK))
     gathered = _cells(queries, rows, q_blocks, c_blocks, _gather(k))
     cutoffs = (_ranked(gathered, k).where(F.col("rank") == k)
-               .select(F.col("query_id").alias("vec_id"), F.col("score").alias("cutoff")))
-    asked = stored(queries.join(cutoffs, "vec_id", "left"), "cutoffs")
+               .select("row", F.col("score").alias("cutoff")))
+    asked = stored(queries.join(cutoffs, "row", "left"), "cutoffs")
     found = _cells(asked, rows, q_blocks, c_blocks, _resolve(k))
     return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

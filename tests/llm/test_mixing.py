@@ -37,9 +37,10 @@ def plain(rows):
         copies, p = int(ratio), ratio - int(ratio)
         room = t - copies * all_words
         ranked = []
-        for (i, _, of), n in zip(rows, size):
+        for (i, text, of), n in zip(rows, size):
             if of == s:
-                u = (int(hashlib.md5(f"mix:{'' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+                own = hashlib.md5((text or "").encode()).hexdigest() if i is None else i
+                u = (int(hashlib.md5(f"mix:{own}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
                 ranked.append((min(int((u * (1 - p)) / (u * (1 - p) + p * (1 - u)) * 2 ** 52), 2 ** 52 - 1) if p else 0, i, n))
         done = 0
         for rank in sorted({r for r, *_ in ranked}):
@@ -105,3 +106,11 @@ def test_targets_at_the_cap(spark):
     got = {r.source: r.target for r in mixing.source_targets(df).collect()}
     assert got["a"] == 30 and got["c"] == 0 and sum(got.values()) == pytest.approx(1100)
     assert [got[s] for s in ("a", "b", "c", None)] == pytest.approx(water_fill([10, 1000, 0, 90], [5., 2., 1., 5.]))
+
+
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    rows = [(None, f"{i} b c d", "a") for i in range(100)] + [(i, "one two three four", "b") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 2 and all(abs(r.taken - r.target) <= 2 for r in got)
+    assert 0 < got[0].target % got[0].source_size

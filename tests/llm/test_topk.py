@@ -8,16 +8,15 @@ from pulsehouse.llm import topk
 
 
 def plain(rows, k=5, every=50):
-    best = {}
+    vectors = []
     for i, v in rows:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
-        w = [math.floor(float(np.float32(x)) * 256) for x in v]
-        best[i] = max(best.get(i, w), w)
+        vectors.append((i, [math.floor(float(np.float32(x)) * 256) for x in v]))
     out = []
-    for q, a in best.items():
+    for n, (q, a) in enumerate(vectors):
         if q % every == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in best.items() if i != q)
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(vectors) if m != n)
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -48,6 +47,37 @@ def test_blocks_ties_and_negative_scores(spark, monkeypatch, spread):
     assert run(spark, rows) == plain(rows)
 
 
+def test_every_row_of_an_id_takes_part(spark):
+    rows = [(0, [1.0, 0.0]), (7, [0.5, 0.5]), (7, [0.5, 0.5]), (7, [0.9, 0.0]), (50, [0.1, 0.2]), (50, [0.1, 0.2]),
+            (50, [-1.0, 3.0])]
+    got = run(spark, rows)
+    assert got == plain(rows) and len(got) == 4 * 5
+    assert [r[2] for r in got if r[0] == 0] == [7, 7, 7, 50, 50]
+
+
+def test_sql_agrees_on_repeated_ids(spark):
+    import duckdb
+    from pulsehouse.llm.queries import ORACLE
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(np.float32(x)) for x in rng.normal(0, 1, 6)]) for i in rng.integers(0, 120, 300)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert run(spark, rows) == sorted(con.sql(ORACLE["op10_top_k"]).fetchall()) == plain(rows)
+
+
+def test_cells_that_cannot_reach_the_cutoff_are_not_multiplied(monkeypatch):
+    import pandas as pd
+    far = pd.DataFrame({"row": [5, 6], "vec_id": [1, 2], "v": [[1, 0, 0, 1], [0, 2, 0, 0]]})
+    near = pd.DataFrame({"row": [7], "vec_id": [3], "v": [[50, 60, 70, 80]]})
+    q = pd.DataFrame({"row": [9], "vec_id": [0], "v": [[9, 9, 9, 9]], "cutoff": [600.0]})
+    asked = []
+    whole = topk._products
+    monkeypatch.setattr(topk, "_products", lambda a, b: asked.append(1) or whole(a, b))
+    assert len(topk._resolve(5)(q, far)) == 0 and not asked
+    assert topk._resolve(5)(q, near)["score"].tolist() == [2340] and asked
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2 ** 22 + i), float(2 ** 21 - i)]) for i in range(60)]
     assert run(spark, rows) == plain(rows)
