@@ -21,7 +21,7 @@ Defined results: words are runs of other bytes than space, tab, line feed, verti
 feed and carriage return; a null text is empty and has no words, no runs and an empty
 ``collapsed``. Repeated rows and rows without doc_id stay. Other columns are not read. An
 empty table gives an empty result. A document's runs are found in one task; memory there
-grows with the longest stretch of repeated words (about 700 bytes a word), not with the
+grows with the longest stretch of repeated words (about 1 kB a word), not with the
 table.
 """
 
