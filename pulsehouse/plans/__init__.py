@@ -34,6 +34,7 @@ QUERIES = {
     "csv_rejects": streams.csv_rejects_q,
     "observed_checks": streams.observed_checks_q,
     "open_sessions": streams.open_sessions_q,
+    "final_windows": streams.final_windows_q,
     "layer_waves": layered.layer_waves_q,
     "gym_summary": layered.gym_summary_q,
     "user_profile_layer": layered.user_profile_layer_q,

@@ -344,4 +344,15 @@ ORACLE.update({
   FROM events a LEFT JOIN events b ON b.event_type = 'purchase' AND b.user_id = a.user_id
     AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 2 HOUR
   WHERE a.event_type = 'view'""",
+
+    "final_windows": """
+  WITH e AS (SELECT *, epoch_us(ts) AS us, epoch_us(date_trunc('hour', ts)) AS hour_us FROM events),
+  b AS (SELECT min(us) AS lo, max(us) - min(us) + 1 AS wide FROM e),
+  d AS (SELECT e.*, (us - lo) * 4 // wide + CASE WHEN event_id % 40 = 7 THEN 1 ELSE 0 END AS k FROM e, b),
+  m AS (SELECT g.k, max(d.us) AS newest FROM range(5) g(k) JOIN d ON d.k <= g.k GROUP BY g.k),
+  s AS (SELECT d.*, coalesce(us < newest - 30 * 3600000000, false) AS late FROM d LEFT JOIN m ON m.k = d.k - 1),
+  w AS (SELECT max(us) - 30 * 3600000000 AS mark FROM s WHERE NOT late)
+  SELECT CASE WHEN late THEN 'late' ELSE 'final' END AS kind, date_trunc('hour', ts) AS window_start,
+         event_type, count(*) AS n, max(value) AS greatest
+  FROM s, w WHERE late OR hour_us + 3600000000 <= mark GROUP BY ALL""",
 })

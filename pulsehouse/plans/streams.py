@@ -26,6 +26,7 @@ from pulsehouse.schemas import JSON_OPTIONS, REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
 from pulsehouse.sources.files import csv_stream, parquet_stream, with_ingest_columns
 from pulsehouse.sources.tables import read_table
+from pulsehouse.streaming.finals import dropped, file_by_time, final_windows, late_rows
 from pulsehouse.streaming.ingest import (CORRUPT, Observed, checked_csv_stream, csv_fault, expect,
                                          split_rejects)
 from pulsehouse.streaming.layers import Lakehouse
@@ -274,6 +275,7 @@ def compact_partitions_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 WITHIN, LATE = "2 HOURS", "1 hour"
+LATER, KEPT = 40, "30 hours"    # one event in LATER comes late; rows are waited for so long
 
 
 def open_sessions_q(spark: SparkSession, d: str) -> DataFrame:
@@ -306,3 +308,33 @@ def open_sessions_q(spark: SparkSession, d: str) -> DataFrame:
             .parquet(f"{root}/out").where("user_id >= 0")
             .select("event_id", "user_id", to_wall("start_time").alias("start_time"),
                     to_wall("end_time").alias("end_time")))
+
+
+def final_windows_q(spark: SparkSession, d: str) -> DataFrame:
+    """Events by hour and kind, each hour once when no more rows of it are taken (``final``),
+    and the rows that came too late for theirs (``late``), T8. The events come in order of
+    time in several deliveries, but one in LATER of them a delivery later."""
+    root = scratch_dir(spark, "final_windows")
+    ddl = "event_id LONG, event_type STRING, value DOUBLE, ts TIMESTAMP"
+    ev = read_table(spark, d, "events", ["event_id", "event_type", "value", "ts"]).withColumn("ts", to_instant("ts"))
+    us = F.unix_micros("ts")
+    lo, hi, size = ev.agg(F.min(us), F.max(us), F.count(F.lit(1))).first()
+    files = max(1, -(-size // 2_000_000))
+    k = (F.expr(f"(unix_micros(ts) - {lo}) * {BATCHES} div {hi - lo + 1}")
+         + F.when(F.pmod("event_id", F.lit(LATER)) == 7, 1).otherwise(0))
+    for n in range(BATCHES + 1):
+        ev.where(k == n).repartition(files).write.mode("append").parquet(f"{root}/source")
+    src = parquet_stream(spark, f"{root}/source", ddl, max_files=files)
+    await_queries([start_stream(src, f"{root}/_ckpt_rows", foreach_batch=file_by_time(root, "ts", KEPT))])
+    groups = final_windows(spark, root, ddl, "ts", KEPT, "1 hour", ["event_type"],
+                           F.count(F.lit(1)).alias("n"), F.max("value").alias("greatest"))
+    query = start_stream(groups, f"{root}/_ckpt_groups", path=f"{root}/out")
+    await_queries([query])
+    if dropped(query):
+        raise RuntimeError("rows on time were dropped")
+    final = (spark.read.schema("window_start TIMESTAMP, event_type STRING, n LONG, greatest DOUBLE")
+             .parquet(f"{root}/out").withColumn("kind", F.lit("final")))
+    late = (late_rows(spark, root, ddl).groupBy(F.date_trunc("hour", "ts").alias("window_start"), "event_type")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("greatest")).withColumn("kind", F.lit("late")))
+    return final.unionByName(late).select("kind", to_wall("window_start").alias("window_start"),
+                                          "event_type", "n", "greatest")

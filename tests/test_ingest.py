@@ -12,6 +12,7 @@ from pulsehouse.plans.layered import lakehouse
 from pulsehouse.schemas import JSON_OPTIONS, PAYLOADS, REGISTRATION_CSV
 from pulsehouse.session import scratch_dir
 from pulsehouse.sources.files import parquet_stream
+from pulsehouse.streaming.finals import dropped, file_by_time, final_windows, late_rows
 from pulsehouse.streaming.ingest import (CORRUPT, Observed, checked_csv_stream, csv_fault, expect, payload_fault,
                                          split_rejects)
 from pulsehouse.streaming.runner import await_queries, start_stream
@@ -160,3 +161,60 @@ def test_envelope_seconds_are_floored_before_1970(spark):
 def test_rejects_need_a_known_reason(spark):
     with pytest.raises(Exception):
         spark.range(1).select(csv_fault("not a schema", "x")).collect()
+
+
+def _filed(spark, root, parts, ddl):
+    """The first query over deliveries, the second after some of them, as a restart would."""
+    outs = []
+    for n, p in enumerate(parts):
+        spark.createDataFrame(p, ddl).coalesce(1).write.mode("append").parquet(f"{root}/s")
+        src = parquet_stream(spark, f"{root}/s", ddl, max_files=1)
+        await_queries([start_stream(src, f"{root}/_a", foreach_batch=file_by_time(root, "at", "10 minutes"))])
+        if n % 2:
+            continue
+        q = start_stream(final_windows(spark, root, ddl, "at", "10 minutes", "1 hour", ["u"], F.count("*").alias("n")),
+                         f"{root}/_b", path=f"{root}/out")
+        await_queries([q])
+        assert dropped(q) == 0
+        outs.append([(r.u, r.window_start.hour, r.n) for r in spark.read.schema(
+            "window_start timestamp, u long, n long").parquet(f"{root}/out").collect()])
+    return outs
+
+
+def test_windows_are_final_and_late_rows_are_kept(spark):
+    root = scratch_dir(spark, "test_finals")
+    t = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    ddl = "u long, at timestamp"
+    parts = [[(1, t(0)), (1, t(50)), (2, t(65)), (None, t(1)), (9, None)],
+             [(1, t(55)), (1, t(54)), (2, t(130))],             # 55 is just on time, 54 is not
+             [(1, t(119)), (2, t(120)), (2, t(190)), (1, t(20))],
+             [(3, t(400))],
+             [(3, t(389)), (3, t(390)), (3, t(401))]]
+    outs = _filed(spark, root, parts, ddl)
+    late = late_rows(spark, root, ddl)
+    assert sorted((r.u, r.at, r.load_batch) for r in late.collect() if r.at) == sorted(
+        [(1, t(54), 1), (1, t(119), 2), (1, t(20), 2), (3, t(389), 4)])
+    assert [(r.u, r.load_batch) for r in late.where("at IS NULL").collect()] == [(9, 0)]
+    kept = spark.read.parquet(f"{root}/rows").where("NOT late").count()
+    assert kept + late.count() == sum(map(len, parts))
+    key = lambda r: (r[0] is not None, r)
+    hours = [sorted(o, key=key) for o in map(set, outs)]
+    assert [len(o) for o in outs] == [len(h) for h in hours]          # each window once
+    assert hours[0] == []
+    assert hours[1] == sorted([(None, 0, 1), (1, 0, 3), (2, 1, 1), (2, 2, 2)], key=key)
+    assert hours[2] == sorted([*hours[1], (2, 3, 1)], key=key)
+
+
+def test_filed_batches_are_written_once(spark):
+    root = scratch_dir(spark, "test_filed")
+    ddl = "u long, at timestamp"
+    t = dt.datetime(2024, 1, 1)
+    write = file_by_time(root, "at", "1 hour")
+    write(spark.createDataFrame([(1, t)], ddl), 0)
+    write(spark.createDataFrame([(1, t), (2, t)], ddl), 0)      # replayed after its mark
+    write(spark.createDataFrame([], ddl), 1)                    # empty: the mark goes on
+    write(spark.createDataFrame([(3, t - dt.timedelta(hours=2))], ddl), 2)
+    rows = spark.read.schema(f"{ddl}, late boolean, load_batch int").parquet(f"{root}/rows")
+    assert {(r.u, r.late, r.load_batch) for r in rows.collect()} == {(1, False, 0), (3, True, 2)}
+    with pytest.raises(Exception):
+        write(spark.createDataFrame([(4, t)], ddl), 9)          # the mark before it is missing
