@@ -9,6 +9,12 @@ the template rewrites history. An assistant text's span (the loss mask) begins w
 output with an opened assistant turn ends, and is as long as the output's growth over the
 same turn with an empty text.
 
+Whole prefixes take time with the square of the turns. A template may state in ``memory`` how
+many turns before it the rendering of a turn depends on; then the prefixes of that short
+stretch are rendered and compared, and the growths add up. What they add up to is held
+against whole prefixes after 1, 2, 4, 8 ... turns and after the last, so the work stays in
+proportion; where anything differs, the statement was wrong and whole prefixes decide.
+
 ``Bracketed`` is the template of the query. It marks the turns with control strings and
 escapes control strings inside texts by one more backslash behind the bracket, which
 ``unescape`` takes away again, so any text comes back as it was.
@@ -16,7 +22,8 @@ escapes control strings inside texts by one more backslash behind the bracket, w
 Defined results: a null text or role is empty; rows with a null conv_id form one
 conversation; turns go by number, nulls first, ties by role and text; repeated rows are
 turns of their own; an empty table gives no rows. Other columns are not read. A
-conversation is rendered in one task, as its output is one string.
+conversation is rendered in one task, as its output is one string; memory grows with the
+longest conversation.
 """
 
 from __future__ import annotations
@@ -41,6 +48,8 @@ class Bracketed:
     """``[SYS]text[/SYS]``, ``[INST] text [/INST]``, ``<s>text</s>`` for the roles system,
     user and assistant; ``[ROLE]role[TEXT]text[/ROLE]`` for any other."""
 
+    #: A turn is rendered alike whatever comes before it.
+    memory = 0
     # The control strings.
     MARKS = {"system": ("[SYS]", "[/SYS]"), "user": ("[INST] ", " [/INST]"),
              "assistant": ("<s>", "</s>")}
@@ -91,7 +100,47 @@ class Located:
 
 
 def locate(turns: Sequence[Turn], render: Render, speaker: str = "assistant") -> Located:
-    """Spans of all turns, found by rendering the successive prefixes.
+    """Spans of all turns, found by rendering successive prefixes: short ones where the
+    template states its ``memory`` and that holds, else whole ones."""
+    memory = getattr(render, "memory", None)
+    found = None if memory is None else by_growth(turns, render, speaker, memory)
+    return found or by_prefixes(turns, render, speaker)
+
+
+def by_growth(turns: Sequence[Turn], render: Render, speaker: str, memory: int) -> Located | None:
+    """Spans from each turn's growth over the ``memory`` turns before it; None if a prefix
+    is rewritten or a whole prefix is not what the growths add up to."""
+    output = render([], False)
+    parts: list[str] = []               # since the last check
+    at, check = len(output), 1
+    spans: list[tuple[int, int] | None] = []
+    loss: list[tuple[int, int]] = []
+    for k, (role, text) in enumerate(turns):
+        near = turns[max(0, k - memory):k]
+        before, now = render(near, False), render([*near, (role, text)], False)
+        if not now.startswith(before):
+            return None
+        if role == speaker:
+            opened, empty = render(near, True), render([*near, (role, "")], False)
+            if not now.startswith(opened):
+                return None
+            begin = at + len(opened) - len(before)
+            loss.append((begin, begin + len(now) - len(empty)))
+        spans.append((at, at + len(now) - len(before)))
+        at = spans[-1][1]
+        parts.append(now[len(before):])
+        if k + 1 in (check, len(turns)):
+            output, parts, check = "".join([output, *parts]), [], 2 * check
+            so_far = turns[:k + 1]
+            opening = render([*near, (role, text)], True)
+            if (render(so_far, False) != output or not opening.startswith(now)
+                    or render(so_far, True) != output + opening[len(now):]):
+                return None
+    return Located(output, spans, loss, False)
+
+
+def by_prefixes(turns: Sequence[Turn], render: Render, speaker: str) -> Located:
+    """Spans from whole prefixes, for any template.
 
     With a template that rewrites history, spans of the turns before the first change
     still hold in the prefix's own output only; so all spans are None and no text is

@@ -45,6 +45,56 @@ def test_templates_that_rewrite_history_are_found():
     assert chat.locate(plain, numbered).rewrites
 
 
+class Joined:
+    """Turns of one role are joined by a line end: a turn depends on the one before it."""
+    def __init__(self, memory):
+        self.memory = memory
+
+    def __call__(self, turns, prompt=False):
+        out = ["<bos>"]
+        for i, (role, text) in enumerate(turns):
+            out.append(f"\n{text}" if i and turns[i - 1][0] == role else f"<{role}>{text}")
+        return "".join(out) + ("<assistant>" if prompt and not (turns and turns[-1][0] == "assistant")
+                               else "\n" if prompt else "")
+
+
+class Counted:
+    """Says from the third turn on how many there are; states that it does not."""
+    memory = 0
+
+    def __call__(self, turns, prompt=False):
+        head = f"{len(turns)}:" if len(turns) > 2 else ""
+        return head + "".join(f"<{r}>{t}" for r, t in turns) + ("<assistant>" if prompt else "")
+
+
+@settings(max_examples=300, deadline=None)
+@given(TURNS, st.sampled_from([T, Joined(0), Joined(1), Joined(3), Counted()]))
+def test_growth_gives_what_whole_prefixes_give(turns, template):
+    assert chat.locate(turns, template) == chat.by_prefixes(turns, template, "assistant")
+
+
+def test_statements_that_hold_are_used_and_others_found_out():
+    turns = [("user", "a"), ("user", "b"), ("assistant", "c"), ("assistant", ""), ("user", "d")] * 7
+    assert chat.by_growth(turns, T, "assistant", 0) == chat.by_prefixes(turns, T, "assistant")
+    assert chat.by_growth(turns, Joined(1), "assistant", 1) == chat.by_prefixes(turns, Joined(1), "assistant")
+    assert chat.by_growth(turns, Joined(0), "assistant", 0) is None
+    assert chat.by_growth(turns, Counted(), "assistant", 0) is None
+    assert chat.locate(turns, Counted()).rewrites
+
+
+def test_work_is_in_proportion_to_the_turns():
+    class Measured(chat.Bracketed):
+        rendered = 0
+
+        def __call__(self, turns, prompt=False):
+            Measured.rendered += len(turns)
+            return super().__call__(turns, prompt)
+    turns = [("user", "x" * 100), ("assistant", "</s>" * 25)] * 10_000
+    found = chat.locate(turns, Measured())
+    assert found.output == T(turns) and len(found.loss) == 10_000 and not found.rewrites
+    assert Measured.rendered < 12 * len(turns)
+
+
 def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
