@@ -34,9 +34,9 @@ from pulsehouse.llm.toxicity import training_rows
 ORDERS = (2, 3, 4)
 BITS = 18
 WIDTH = 12
-#: Rows of each class that a model learns from, at most, and the longest text among them.
+#: Rows of each class that a model learns from, at most, and characters of them together.
 ROWS_PER_CLASS = 2500
-LONGEST = 20_000
+CHARS_PER_CLASS = 24_000_000
 BLOCK = 1 << 18
 BLANK = np.uint32(32)
 #: Bins of "a text ends", which counts ENDS times for each text so that a few words alone
@@ -163,12 +163,12 @@ def fit(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, epochs
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality",
           learn: Column | None = None, per_class: int = ROWS_PER_CLASS,
-          longest: int = LONGEST) -> Model:
+          chars: int = CHARS_PER_CLASS) -> Model:
     """Fit on a bounded sample of the labelled rows that ``learn`` admits (a column of
-    ``labels``). One task fits, as the sample is bounded by ``2 * per_class * longest``
+    ``labels``). One task fits, as the sample is bounded by ``2 * chars``
     characters; the driver gets one number for each of the ``2**BITS`` features."""
     rows = training_rows(documents, labels, label, F.lit(True) if learn is None else learn,
-                         per_class, longest)
+                         per_class, chars)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]

@@ -5,13 +5,14 @@ Features are the distinct character n-grams (``ORDERS``) of the lower-cased text
 run of control characters and blanks read as blanks, hashed to ``2**BITS`` bins. A bin's
 scale is the log ratio of its smoothed document shares in toxic and in other texts.
 The ``FEATURES`` bins whose ratio is surest stay, and logistic regression with an L1
-penalty (accelerated proximal gradient) is fitted on the scaled features. So few bins have
-a weight, and scoring a text is a table look-up for every character.
+penalty (accelerated proximal gradient) is fitted on the scaled features, both classes
+weighing the same. So few bins have a weight, and scoring a text is a table look-up for
+every character.
 
 Defined results: a null text is an empty text; a text without a weighted n-gram (empty
 texts too) gets the score of the intercept; repeated rows get equal scores, one for each
-row; label rows with a null in doc_id or label are not learned from, and with labels of a
-single class, or none, every score is that class's share (0 without labels). Other columns
+row; label rows with a null in doc_id or label are not learned from, repeated ones once, and
+with labels of a single class, or none, every score is that class's share (0 without labels). Other columns
 of the tables are not read.
 """
 
@@ -22,16 +23,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsehouse.llm.common import code_points, give_back, pieces
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
-#: Rows of each class that a model learns from, at most, and the longest text among them.
+#: Rows of each class that a model learns from, at most, and characters of them together.
 ROWS_PER_CLASS = 3000
-LONGEST = 20_000
+CHARS_PER_CLASS = 24_000_000
 #: Bins that may have a weight.
 FEATURES = 4000
 #: Characters that a task holds as numbers at once.
@@ -100,7 +101,8 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
         penalty: float = 1e-4, rounds: int = 200, smooth: float = 1.0,
         least: int = 3, features: int = FEATURES) -> Model:
     """Fit on the given texts, with the ``features`` bins whose log-count ratio is surest.
-    ``weights``: how many rows of the corpus each text stands for."""
+    ``weights``: how many rows of the corpus each text stands for, among those of its class;
+    the two classes weigh the same, as toxic texts are few and missing one costs more."""
     y = np.asarray(labels, dtype=np.float64)
     none = np.zeros(0, dtype=np.int32)
     if not len(y) or y.min() == y.max():
@@ -128,7 +130,7 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
     col = np.concatenate(held)
     del held
     scale = ratio[usable]
-    share = weights / weights.sum()
+    share = weights / np.where(y == 1, weights @ y, weights @ (1 - y)) / 2
 
     # a feature's value is its bin's scale, so sums over a text's features need no more than
     # these two arrays, block by block
@@ -171,24 +173,24 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray,
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: Column,
-                  per_class: int, longest: int) -> DataFrame:
+                  per_class: int, chars: int) -> DataFrame:
     """(text, label, stands_for): at most ``per_class`` labelled rows of each class, those
-    with the lowest hash of their id, among texts of at most ``longest`` characters.
-    stands_for is the number of labelled rows of the class for each row taken."""
+    with the lowest hash of their id, as far as they hold ``chars`` characters together. A
+    text that holds more by itself is passed over; repeated rows count once. stands_for is
+    the number of labelled rows of the class for each row taken."""
     marked = (labels.where(learn).select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
-              .where("_id is not null and _label in (0, 1)"))
+              .where("_id is not null and _label in (0, 1)").distinct())
     shares = marked.groupBy("_label").count().withColumnRenamed("count", "_all")
-    texts = (documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-             .where(F.length(F.coalesce("_text", F.lit(""))) <= longest))
-    taken = None
-    for k in (0, 1):
-        # the ids are picked first, with some to spare for labels without a fitting text
-        some = (marked.where(F.col("_label") == k)
-                .orderBy(F.xxhash64("_id"), "_id").limit(2 * per_class))
-        rows = (texts.join(F.broadcast(some), "_id")
-                .orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text")).limit(per_class))
-        taken = rows if taken is None else taken.unionAll(rows)
-    taken = taken.select("_text", "_label")
+    # the ids are picked first, with some to spare for labels without a fitting text
+    none, some = (marked.where(F.col("_label") == k).orderBy(F.xxhash64("_id"), "_id").limit(2 * per_class)
+                  for k in (0, 1))
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"))
+    size = F.length(F.coalesce("_text", F.lit("")))
+    taken = (documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(size <= chars)
+             .join(F.broadcast(none.unionAll(some)), "_id").distinct()
+             .withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_class)
+             .withColumn("_held", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+             .where(F.col("_held") <= chars).select("_text", "_label"))
     counts = taken.groupBy("_label").count()
     each = (shares.join(counts, "_label")
             .select("_label", (F.col("_all") / F.col("count")).alias("_stands_for")))
@@ -197,12 +199,12 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, learn: Co
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic",
           learn: Column | None = None, per_class: int = ROWS_PER_CLASS,
-          longest: int = LONGEST) -> Model:
+          chars: int = CHARS_PER_CLASS) -> Model:
     """Fit on a bounded sample of the labelled rows that ``learn`` admits (a column of
-    ``labels``). One task fits, as the sample is bounded by ``2 * per_class * longest``
+    ``labels``). One task fits, as the sample is bounded by ``2 * chars``
     characters; the driver gets the weights alone."""
     rows = training_rows(documents, labels, label, F.lit(True) if learn is None else learn,
-                         per_class, longest)
+                         per_class, chars)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = [b for b in batches if len(b)]
