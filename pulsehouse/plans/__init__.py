@@ -21,6 +21,7 @@ QUERIES = {
     "count_checks": batch.count_checks_q,
     "rows_equal": batch.rows_equal_q,
     "tables_differ": batch.tables_differ_q,
+    "colocated_visits": batch.colocated_visits_q,
     "first_seen_insert_only": streams.first_seen_insert_only_q,
     "first_seen_earliest_wins": streams.first_seen_earliest_wins_q,
     "latest_profile": streams.latest_profile_q,

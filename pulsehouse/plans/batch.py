@@ -20,6 +20,7 @@ from pulsehouse.functions.bins import age_bin, age_years, validity
 from pulsehouse.functions.envelope import decode_envelope, flatten, to_envelope
 from pulsehouse.functions.time import epoch_double, epoch_to_timestamp, to_wall, week_part
 from pulsehouse.operators.joins import attach_readings, join_dimension, pair_actions
+from pulsehouse.operators.maintenance import write_colocated
 from pulsehouse.operators.merge import merge_rows
 from pulsehouse.operators.quality import count_checks, rows_equal, tables_differ
 from pulsehouse.operators.summaries import session_summary, visit_report
@@ -31,6 +32,7 @@ START, STOP = "view", "purchase"            # actions that open / close a sessio
 READING = "click"                           # events that are heart-rate readings
 VALID_BPM = "heartrate BETWEEN 1 AND 220"   # validity rule of a reading
 VISIT_DAYS = 90                             # a visit lasts 90 days unless still open
+BUCKET_ROWS = 2_000_000                     # rows of a bucket of a co-located table
 OPEN_STATUS = "O"                           # open order = visit without logout
 AGE_REF = "2024-02-29"                      # reference date of the age bins
 AGE_TEST_EDGES = (23, 25, 27, 29)           # bins that split the stand-in ages
@@ -248,3 +250,21 @@ def tables_differ_q(spark: SparkSession, d: str) -> DataFrame:
     golden = scratch_dir(spark, "tables_differ")
     _damaged(ev).write.parquet(golden)
     return tables_differ(ev, spark.read.parquet(golden), F.floor(F.col("event_id") / 100))
+
+
+def colocated_visits_q(spark: SparkSession, d: str) -> DataFrame:
+    """Visits and users of each device from tables written by device: grouped and joined
+    without an exchange (J2, K6)."""
+    root = scratch_dir(spark, "colocated")
+    visits = _t(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
+        F.col("o_custkey").alias("device"), F.col("o_orderkey").alias("visit_id"), F.col("o_orderdate").alias("login"))
+    users = _t(spark, d, "customer", ["c_custkey", "c_mktsegment"]).select(
+        F.col("c_custkey").alias("device"), F.col("c_mktsegment").alias("segment"))
+    buckets = max(4, -(-visits.count() // BUCKET_ROWS))
+    mine = root.rsplit("/", 1)[1]
+    by_device = write_colocated(visits, f"visits_{mine}", ["device"], buckets, f"{root}/visits", ["login"])
+    dimension = write_colocated(users, f"users_{mine}", ["device"], buckets, f"{root}/users")
+    each = by_device.groupBy("device").agg(F.count(F.lit(1)).alias("n"), F.max("login").alias("newest"),
+                                           F.max_by("visit_id", F.struct("login", "visit_id")).alias("last_visit"))
+    return dimension.join(each, "device", "left").select(
+        "device", "segment", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "newest", "last_visit")

@@ -355,4 +355,9 @@ ORACLE.update({
   SELECT CASE WHEN late THEN 'late' ELSE 'final' END AS kind, date_trunc('hour', ts) AS window_start,
          event_type, count(*) AS n, max(value) AS greatest
   FROM s, w WHERE late OR hour_us + 3600000000 <= mark GROUP BY ALL""",
+
+    "colocated_visits": """
+  SELECT c_custkey AS device, c_mktsegment AS segment, count(o_orderkey) AS n, max(o_orderdate) AS newest,
+         arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_visit
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2""",
 })
