@@ -336,3 +336,27 @@ def test_keyed_table_equals_merging_by_hand(spark, rows, cuts, changes):
             told = (spark.read.schema(t.changes_ddl).parquet(t.changes_path).groupBy("k", "t", "v")
                     .agg(F.sum("op").alias("n")).where("n != 0"))
             assert sorted((r.k, r.t, r.v, r.n) for r in told.collect()) == [(*w, 1) for w in want]
+
+
+def test_named_partitions_are_read_without_a_join(spark):
+    """Rows of named partitions come from their folders: no shuffle of all that is read."""
+    t = AppendTable(spark, scratch_dir(spark, "test_named"), "k INT, at TIMESTAMP_NTZ", ["k", "at"], date_of="at")
+    rows = spark.sql("SELECT id k, TIMESTAMP_NTZ'2024-01-01' + id * INTERVAL 1 DAY at FROM range(4)")
+    t.merge(rows)
+    days = spark.sql("SELECT DATE'2024-01-02' day UNION ALL SELECT DATE'2024-01-03' UNION ALL SELECT DATE'2024-01-02'")
+    got = t.read(days)
+    assert sorted(r.k for r in got.collect()) == [1, 2]
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_batch_is_reduced_to_its_keys_first(spark, monkeypatch):
+    """What a merge keeps and compares is one row of a key, however many messages name it."""
+    t = KeyedTable(spark, scratch_dir(spark, "test_reduced"), "k INT, v INT", ["k"], "latest_wins", ["v"], changes=True)
+    sizes, placed = [], t._placed
+    monkeypatch.setattr(t, "_placed", lambda df, schema: (sizes.append(df.count()), placed(df, schema))[1])
+    for batch_id in (0, 1):
+        t.merge(spark.range(600).selectExpr("CAST(id % 3 AS INT) k", f"CAST(id + {batch_id} AS INT) v"), batch_id)
+    assert sizes == [3, 3]
+    assert sorted(map(tuple, t.read().collect())) == [(0, 598), (1, 599), (2, 600)]
+    told = spark.read.schema(t.changes_ddl).parquet(t.changes_path).groupBy("op").count().collect()
+    assert sorted(map(tuple, told)) == [(-1, 3), (1, 6)]
