@@ -137,3 +137,38 @@ def test_hot_key_is_spread_over_buckets(spark):
     b = interval_join(p, r, ["k"], "t", "lo", "hi", bucket_seconds=width)
     assert a.count() == b.count() > 0
     assert b.exceptAll(a).count() == 0
+
+
+def test_keys_with_few_ranges_are_joined_without_copies(spark, monkeypatch):
+    """Points of such keys are neither copied by level nor dealt by bucket; a key with many
+    ranges still is, and the rows are those of the plain join, NULL keys and twins included."""
+    from pulsehouse.operators import joins
+    base = T(2024, 1, 1)
+    pts = [(k, i, base + dt.timedelta(hours=i)) for i in range(60) for k in ("a", "b", None)] + [("a", 5, base)] * 2
+    few = [("a", j, base + dt.timedelta(hours=5 * j), base + dt.timedelta(days=j)) for j in range(4)] + [(None, 9, base, base)]
+    many = [("b", 10 + j, base + dt.timedelta(hours=j), base + dt.timedelta(hours=j + j % 7)) for j in range(30)]
+    p = spark.createDataFrame(pts, "k string, pid int, t timestamp_ntz")
+    ddl = "k string, rid int, lo timestamp_ntz, hi timestamp_ntz"
+    monkeypatch.setattr(joins, "FEW", 4)
+    for rows, copied in ((few, False), (few + many, True), (many, True)):
+        r = spark.createDataFrame(rows, ddl)
+        a = interval_join(p, r, ["k"], "t", "lo", "hi", strategy="range")
+        b = interval_join(p, r, ["k"], "t", "lo", "hi")
+        assert a.count() > 0 and sorted(map(tuple, b.collect())) == sorted(map(tuple, a.collect()))
+        assert ("Generate" in b._jdf.queryExecution().optimizedPlan().toString()) is copied
+
+
+def test_a_bridge_is_joined_to_the_sessions(spark):
+    """Readings meet sessions by device: they are shuffled once, and come with the same columns."""
+    sessions = spark.createDataFrame([(1, 7, T(2024, 1, 1, 8), T(2024, 1, 1, 9)), (2, 8, T(2024, 1, 1, 8), T(2024, 1, 2))],
+                                     "user_id int, session_id int, start_time timestamp_ntz, end_time timestamp_ntz")
+    bridge = spark.createDataFrame([(100, 1), (100, 2), (200, 2), (None, 1)], "device_id long, user_id int")
+    readings = spark.createDataFrame([(100, T(2024, 1, 1, 8), 80.0), (200, T(2024, 1, 1, 12), 90.0), (None, T(2024, 1, 1, 8), 70.0)],
+                                     "device_id long, time timestamp_ntz, heartrate double")
+    out = attach_readings(readings, sessions, ["user_id"], valid_col=None, bridge=bridge, bridge_on=["device_id"])
+    assert out.columns == ["device_id", "time", "heartrate", "user_id", "session_id", "start_time", "end_time"]
+    assert sorted((r.device_id, r.user_id, r.session_id) for r in out.collect()) == [(100, 1, 7), (100, 2, 8), (200, 2, 8)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("device_id") < plan.index("heartrate") and plan.count("Join") == 2
+    first = next(x for x in plan.splitlines() if "Join" in x)
+    assert "device_id" in first and "user_id" not in first

@@ -284,3 +284,38 @@ def test_landing_files_may_be_compressed(spark):
     for plain, small in zip(rows["none"], rows["gzip"]):
         assert plain.count() == small.count() > 0
         assert plain.exceptAll(small).isEmpty()
+
+
+def test_many_changes_are_attached_without_what_is_stored(spark, monkeypatch):
+    """Where most sessions change, all are attached anew from the readings: the stored rows
+    are not held against the changes, and the tables are those of the other way."""
+    from pulsehouse.operators.merge import AppendTable
+    from pulsehouse.streaming.layers import Lakehouse
+    found, seen, replace = {}, {}, AppendTable.replace
+    for name, most in (("anew", Lakehouse.MOST), ("changes", 10.0)):
+        root = scratch_dir(spark, f"test_most_{name}")
+        monkeypatch.setattr(Lakehouse, "MOST", most)
+
+        def noted(self, groups, *rest, name=name):
+            seen.setdefault(name, []).append(groups is None)
+            return replace(self, groups, *rest)
+        monkeypatch.setattr(AppendTable, "replace", noted)
+        for k, part in enumerate(DELIVERIES[:2]):
+            _deliver(root, str(k), *part)
+            lh = lakehouse(spark, root, append_grain="day", key_buckets=2)
+            lh.run()
+        found[name] = _tables(lh)
+    assert found["anew"] == found["changes"] and found["anew"]["workout_bpm"]
+    assert seen == {"anew": [True, True], "changes": [False, False]}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    from pulsehouse.session import tidy
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with pytest.raises(ValueError), tidy(spark):
+        assert spark.conf.get(key) == "true"
+        df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        assert df.count() == df.count() == len(df.collect()) == len(df.collect()) == 7     # runs again
+        raise ValueError
+    assert spark.conf.get(key) == before

@@ -168,6 +168,25 @@ def test_replace_withdraws_the_rows_of_groups(spark):
     assert t.read(days).where("timestamp >= '2024-01-09'").count() == 0 and t.read().count() == 6
 
 
+def test_days_can_be_replaced_without_reading_them(spark, monkeypatch):
+    """All rows of some days are given: what is stored is not read, other days stay, and
+    rows lie by key in each file."""
+    root = scratch_dir(spark, "test_replace_days")
+    t = AppendTable(spark, root, USERS, ["user_id", "timestamp"], date_of="timestamp")
+    t.merge(_df(spark, [(u, u, T(2024, 1, d)) for u in (1, 2) for d in (1, 2, 3)]), 0)
+    days = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (1, 2, 9)], "day date")
+    new = [(u * 7 % 50, u, T(2024, 1, 2, h)) for u in range(50) for h in (3, 1)]
+    monkeypatch.setattr(t, "_stored", lambda parts=None: pytest.fail("read"))
+    for _ in range(2):
+        t.replace(None, days, _df(spark, new).repartition(3))
+    monkeypatch.undo()
+    assert sorted(map(tuple, t.read().collect())) == sorted(new + [(u, u, T(2024, 1, 3)) for u in (1, 2)])
+    for f in _files(f"{root}/day=2024-01-02"):
+        keys = [tuple(r) for r in spark.read.parquet(str(f)).where("load_time IS NOT NULL")
+                .coalesce(1).select("user_id", "timestamp").collect()]
+        assert keys == sorted(keys)
+
+
 def _damage(folder):
     """Overwrite every data file under a local folder with junk."""
     for f in pathlib.Path(folder.removeprefix("file:")).rglob("*.parquet"):
