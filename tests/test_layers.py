@@ -309,6 +309,28 @@ def test_many_changes_are_attached_without_what_is_stored(spark, monkeypatch):
     assert seen == {"anew": [True, True], "changes": [False, False]}
 
 
+def test_few_files_hold_a_week_of_the_bus(spark):
+    """Large parts of a micro-batch are split; a small week is not cut with them."""
+    import pathlib
+    root = scratch_dir(spark, "test_bus_files")
+    rows = spark.range(60_000).selectExpr(
+        "CAST(id AS STRING) AS key", "sha2(CAST(id AS STRING), 512) AS value", "'bpm' AS topic", "0L AS partition",
+        "id AS offset", "1000000000 + id % 40 * 604800 AS timestamp")
+    rows.repartition(6).write.json(f"{root}/landing/bus")
+    lh = lakehouse(spark, root)
+    lh.set_up(("bus_dump",))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        lh.bronze_bus().awaitTermination()
+    finally:
+        spark.conf.set(size, before)
+    files = list(pathlib.Path(f"{root}/tables/bus_dump/topic=bpm".removeprefix("file:")).rglob("*.parquet"))
+    assert len({f.parent for f in files}) == 40 and len(files) <= 60
+    assert lh.read("bus_dump").count() == 60_000
+
+
 def test_shuffle_files_go_with_their_query(spark):
     from pulsehouse.session import tidy
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
